@@ -1,0 +1 @@
+"""Operators of the catalogue: DataFrame in, DataFrame out."""

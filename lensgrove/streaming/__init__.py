@@ -1,0 +1 @@
+"""Streams: pages as they come, and ledgers that grow."""
