@@ -21,7 +21,7 @@ SOURCES = {
     "european": "lang in ('de', 'es', 'fr')",
     "long_form": "n_chars >= 6000",
 }
-WEIGHTS = {"hot_feed": 0.15, "other_feeds": 0.25, "english": 0.2, "european": 0.25, "long_form": 0.15}
+WEIGHTS = {"hot_feed": 0.1, "other_feeds": 0.1, "english": 0.15, "european": 0.5, "long_form": 0.15}
 #: What each further pass over the same documents costs a token; rising, so that repetition is spread evenly.
 EPOCH_COSTS = (0, 1, 3, 7)
 SEED = 20
