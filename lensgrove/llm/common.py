@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-import sys
 import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "__row"
 
 
-def travels(module: str) -> None:
-    """Send what a module defines along with tasks: workers need not have this library installed."""
-    cloudpickle.register_pickle_by_value(sys.modules[module])
-
-
 def require(df: DataFrame, *names: str) -> None:
     """Raise ValueError if a named column is missing."""
     if missing := [n for n in names if n not in df.columns]:

@@ -14,9 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROW, col, packed, require, travels, unpacked
-
-travels(__name__)
+from .common import ROW, col, packed, require, unpacked
 
 #: Labelled documents a language that the word model is fitted on, at most.
 TRAIN_DOCS = 150
