@@ -21,6 +21,9 @@ WIDTH = BITS // BLOCKS
 BUDGET = 22
 LENGTH_RATIO = 0.8
 LEAST_FEATURES = 8
+#: Row pairs compared, and node pairs expanded, at a time: they bound a task's memory, not what it finds.
+CELLS = 250_000
+NODES = 60_000
 
 _WORD = re.compile(r"\w+")
 
@@ -44,7 +47,7 @@ _digests: dict[str, bytes] = {}
 def _digest(feature: str) -> bytes:
     got = _digests.get(feature)
     if got is None:
-        if len(_digests) >= 300_000:
+        if len(_digests) >= 150_000:
             _digests.clear()
         got = _digests[feature] = xxhash.xxh3_128_digest(feature)
     return got
@@ -58,7 +61,7 @@ def simhash(texts: list[str | None]) -> tuple[list[bytes | None], list[int]]:
     at = 0
     while at < len(sets):
         upto, total = at, 0
-        while upto < len(sets) and (total == 0 or total + sizes[upto] <= 100_000):
+        while upto < len(sets) and (total == 0 or total + sizes[upto] <= 50_000):
             total += sizes[upto]
             upto += 1
         if total:
@@ -79,7 +82,11 @@ _SIGNED = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("n",
 
 def _simhash_batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for t in texts:
-        fp, n = simhash(t.tolist())
+        fp, n = [], []
+        for a in range(0, len(t), 256):
+            some = simhash(t.iloc[a : a + 256].tolist())
+            fp += some[0]
+            n += some[1]
         yield pd.DataFrame({"fp": pd.Series(fp, dtype=object), "n": np.array(n, np.int32)})
 
 
@@ -132,15 +139,17 @@ def trie_pairs(keys: np.ndarray, roots: np.ndarray, visits: np.ndarray, budget:
     big = hi - lo > 1
     stack = [(0, lo[big], hi[big], lo[big], hi[big], np.zeros(big.sum(), np.int16))]
     left, right = [], []
-    ones = [np.r_[0, np.cumsum((keys[:, d // 64] >> np.uint64(63 - d % 64)) & np.uint64(1), dtype=np.int64)] for d in range(40)]
+    ones: dict[int, np.ndarray] = {}
 
     def split(a: np.ndarray, b: np.ndarray, d: int) -> np.ndarray:
+        if d not in ones:
+            ones[d] = np.r_[0, np.cumsum((keys[:, d // 64] >> np.uint64(63 - d % 64)) & np.uint64(1), dtype=np.int32)].astype(np.int32)
         return b - (ones[d][b] - ones[d][a])
 
     def compare(a0, a1, b0, b1):
         na, nb = a1 - a0, b1 - b0
         size = na * nb
-        cuts = np.searchsorted(np.cumsum(size), np.arange(2_000_000, size.sum() + 2_000_000, 2_000_000)) + 1
+        cuts = np.searchsorted(np.cumsum(size), np.arange(CELLS, size.sum() + CELLS, CELLS)) + 1
         begin = 0
         for end in np.unique(np.minimum(cuts, len(size))):
             s = size[begin:end]
@@ -158,13 +167,13 @@ def trie_pairs(keys: np.ndarray, roots: np.ndarray, visits: np.ndarray, budget:
                     ok &= keep(i, j)
                 left.append(i[ok])
                 right.append(j[ok])
-                if linked and sum(map(len, left)) > 1_000_000:
+                if linked and sum(map(len, left)) > CELLS:
                     left[:], right[:] = ([x] for x in forest(np.concatenate(left), np.concatenate(right), n))
             begin = end
 
     while stack:
         d, a0, a1, b0, b1, err = stack.pop()
-        if len(a0) > 400_000:
+        if len(a0) > NODES:
             half = len(a0) // 2
             stack += [(d, *(x[:half] for x in (a0, a1, b0, b1, err))), (d, *(x[half:] for x in (a0, a1, b0, b1, err)))]
             continue
@@ -206,7 +215,8 @@ def _join_tries(budget: int, ratio: float, linked: bool):
         if not got:
             return
         rows = pd.concat(got, ignore_index=True)
-        fp = np.frombuffer(b"".join(rows["fp"]), np.uint8).reshape(-1, BITS // 8)
+        del got
+        fp = np.frombuffer(b"".join(rows.pop("fp")), np.uint8).reshape(-1, BITS // 8)
         turn, level = rows["turn"].to_numpy(np.int64), rows["band"].to_numpy(np.int64)
         keys = rotated(fp, turn)
         root = level * BLOCKS + turn
@@ -218,9 +228,8 @@ def _join_tries(budget: int, ratio: float, linked: bool):
 
         i, j = trie_pairs(keys[order], root[order], rows["visit"].to_numpy(bool)[order], budget, keep=keep, linked=linked)
         i, j = order[i], order[j]
-        pairs = pd.DataFrame({"u": rows["fp"].to_numpy()[i], "v": rows["fp"].to_numpy()[j]})
-        if len(pairs):
-            yield pairs
+        for a in range(0, len(i), 20_000):
+            yield pd.DataFrame({k: [fp[x].tobytes() for x in at[a : a + 20_000]] for k, at in (("u", i), ("v", j))})
 
     return run
 
