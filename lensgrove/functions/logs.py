@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EVENT = r"^(\d{3})\s+\((\d+\.\d+\.\d+)\)\s+(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)\s+(.+)$"
+_JOB, _TIME = r"[0-9]+(?:\.[0-9]+){2}", "[0-9]{4}(?:-[0-9]{2}){2} [0-9]{2}(?::[0-9]{2}){2}"
+EVENT = rf"^([0-9]{{3}})\s+[(]({_JOB})[)]\s+({_TIME})\s+(.+)$"
 
 
 def log_events(text: Column) -> Column:

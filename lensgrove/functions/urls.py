@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PHOTO_BASE = "https://photos.example.org/photos"
-SIZES = ("square", "small", "medium", "large", "original")
+SIZES = tuple("square small medium large original".split())
 
 
 def url_ext(url: Column) -> Column:

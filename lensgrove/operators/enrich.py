@@ -120,7 +120,7 @@ def enrich_image(content: bytes | None, segmenter: Segmenter, config: RunConfig)
                 {"score": float(score), "n_pixels": int(m.sum()), "avg_rgb": average_rgb(rgb, m) if config.average_rgb else None, "bbox": bounding_box(m), "mask": {"h": h, "w": w, "data": m.tobytes()}}
             )
         if kept or config.overlay_without_detection:
-            out["overlay"], out["overlay_count"] = overlay(rgb, kept)
+            out["overlay"], out["overlay_count"] = overlay(rgb, kept, [f"{config.prompt} {x['score']:.3f}" for x in out["instances"]])
         if config.cutouts:
             out["cutouts"] = [cutout(rgb, m) for m in kept]
     except Exception as e:

@@ -77,3 +77,14 @@ def kpis(images: DataFrame, wall_seconds: float, busy_seconds: float, bytes_out:
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in values.items()])
     return one.select(F.explode(pairs).alias("p")).select("p.metric", "p.value")
+
+
+def transfer_metrics(n_bytes: int, seconds: float) -> dict[str, float | None]:
+    """Size and speed of a build or a transfer; a GB is 1e9 bytes, and no time gives no speed."""
+    return {"bytes": n_bytes, "gb": n_bytes / 1e9, "seconds": round(seconds, 3), "minutes": seconds / 60, "mb_per_s": n_bytes / 1e6 / seconds if seconds > 0 else None}
+
+
+def folder_bytes(spark, path: str) -> int:
+    """Bytes under a path of any file system that Spark knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()

@@ -24,7 +24,7 @@ def run_checks(checks: Sequence[tuple[str, Callable[[], dict], str | None]]) ->
     on is ok; a probe that raises has failed. Durations have three decimals."""
     out: list[dict] = []
     for name, probe, needs in checks:
-        row = {"name": name, "status": "skipped", "duration_sec": 0.0, "error": None, "detail": {}, "traceback": None}
+        row = dict.fromkeys(schemas.CHECK.names) | {"status": "skipped", "name": name, "detail": {}, "duration_sec": 0.0}
         before = next((r["status"] for r in out if r["name"] == needs), None)
         if needs is not None and before != "ok":
             row["error"] = f"{needs} is {before or 'missing'}"
@@ -55,10 +55,20 @@ def subprocess_check(command: Sequence[str], timeout: float = 3600.0) -> dict:
 
 def checks_frame(spark: SparkSession, results: list[dict], started: float, finished: float, args: dict | None = None) -> DataFrame:
     """Results as one row of the check-run schema."""
-    row = (started, finished, round(finished - started, 3), {k: str(v) for k, v in (args or {}).items()}, [tuple(r[f.name] for f in schemas.CHECK.fields) for r in results], all(r["status"] == "ok" for r in results))
+    row = (started, finished, round(finished - started, 3), {k: str(v) for k, v in (args or {}).items()}, [tuple(r[f.name] for f in schemas.CHECK.fields) for r in results], all_ok(results))
     return spark.createDataFrame([row], schemas.CHECK_RUN)
 
 
+def all_ok(results: list[dict]) -> bool:
+    """Whether no check failed or was skipped; true for none."""
+    return {r["status"] for r in results} <= {"ok"}
+
+
+def exit_status(results: list[dict]) -> int:
+    """What a program should exit with: 0 if all checks are ok, else 1."""
+    return 0 if all_ok(results) else 1
+
+
 def gate(steps: DataFrame, run: str, order: str, ok: str = "ok") -> DataFrame:
     """steps with ``gated``: 'skipped' once an earlier step of the run wasn't ok (a linear chain), else its own status."""
     before = W.partitionBy(run).orderBy(order).rowsBetween(W.unboundedPreceding, -1)

@@ -64,10 +64,10 @@ obs AS (SELECT o_orderkey::VARCHAR AS observation_uuid, CASE WHEN o_orderkey % 5
                (o_custkey % 90)::VARCHAR || '.5' AS latitude,
                CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '-' || (o_orderkey % 180)::VARCHAR || '.25' END AS longitude FROM orders),
 taxa AS (SELECT c_custkey::VARCHAR AS taxon_id, c_name AS name FROM customer WHERE c_custkey % 11 <> 0),
-idx AS (SELECT TRY_CAST(o.taxon_id AS INTEGER) AS taxon_id, TRY_CAST(p.photo_id AS BIGINT) AS photo_id, p.extension, t.name AS taxon_name,
-               o.quality_grade, TRY_CAST(o.latitude AS FLOAT) AS latitude, TRY_CAST(o.longitude AS FLOAT) AS longitude
-        FROM photos p, obs o LEFT JOIN taxa t ON t.taxon_id = o.taxon_id
-        WHERE o.observation_uuid = p.observation_uuid AND o.quality_grade = 'research')
+wanted AS (SELECT obs.*, taxa.name AS taxon_name FROM obs LEFT JOIN taxa USING (taxon_id) WHERE quality_grade = 'research'),
+idx AS (SELECT extension, taxon_name, quality_grade, TRY_CAST(longitude AS FLOAT) AS longitude, TRY_CAST(latitude AS FLOAT) AS latitude,
+               TRY_CAST(photo_id AS BIGINT) AS photo_id, TRY_CAST(taxon_id AS INTEGER) AS taxon_id
+        FROM photos JOIN wanted USING (observation_uuid))
 """
 
 

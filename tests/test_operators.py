@@ -104,6 +104,12 @@ def test_masks():
     assert masks.average_rgb(half, np.ones((1, 2))) == {"r": 2, "g": 0, "b": 2}
     image, drawn = masks.overlay(rgb, [found[0][0], empty])
     assert drawn == 1 and png.decode(image).shape == (4, 3, 3)
+    labelled = np.zeros((40, 60, 3), np.uint8)
+    spot = np.zeros((40, 60), np.uint8)
+    spot[35:, :8] = 1
+    plain, marked = (png.decode(masks.overlay(labelled, [spot], x)[0]) for x in (None, ["a 0.9"]))
+    assert (plain != marked).any() and (png.decode(masks.overlay(labelled, [])[0]) > 0).any()
+    assert (masks.load_mask(enrich.npy(spot)) == spot).all()
     crop = png.decode(masks.cutout(rgb, found[0][0]))
     assert crop.shape == (1, 2, 4) and (crop[..., 3] == 255).all()
 
@@ -179,6 +185,7 @@ def test_checks_are_gated(spark):
 
     got = report.run_checks([("env", lambda: report.environment(), None), ("net", fails, "env"), ("model", dict, "net"), ("run", dict, "model")])
     assert [r["status"] for r in got] == ["ok", "failed", "skipped", "skipped"]
+    assert report.exit_status(got) == 1 and report.exit_status(got[:1]) == 0
     frame = report.checks_frame(spark, got, 1.0, 2.5)
     assert frame.first()["all_ok"] is False and frame.schema == schemas.CHECK_RUN
 
@@ -216,6 +223,12 @@ def test_kpis(spark):
     assert none["images"] == 0 and none["images_per_s"] is None
 
 
+def test_transfer_metrics(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "x"))
+    assert metrics.folder_bytes(spark, str(tmp_path / "x")) > 0
+    assert metrics.transfer_metrics(2_000_000, 4.0)["mb_per_s"] == 0.5 and metrics.transfer_metrics(1, 0)["mb_per_s"] is None
+
+
 def test_config():
     assert variants()["cutouts"].prefetch == 8
     with pytest.raises(ValueError):
