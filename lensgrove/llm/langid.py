@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,13 +14,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROW, col, packed, require, unpacked
+from .common import col, packed, require, unpacked
 
 #: Labelled documents a language that the word model is fitted on, at most.
 TRAIN_DOCS = 150
 SWITCH_PENALTY = 14.0
 MIN_SHARE = 0.5
 BLOCK = 64
+#: Words whose scores a task remembers.
+CACHED_WORDS = 150_000
 #: Texts with fewer letters aren't judged by how likely their letters are.
 LEAST_LETTERS = 200
 _WORD = re.compile(r"[^\W\d_]+")
@@ -69,19 +71,20 @@ class LanguageModel:
     floor: float = -np.inf
     #: Words scored so far: rows of scored, and their scripts.
     cache: dict[str, int] = field(default_factory=dict, repr=False)
-    scored: list = field(default_factory=list, repr=False)
+    scored: np.ndarray | None = field(default=None, repr=False)
     scripts: list[str] = field(default_factory=list, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "scored": [], "scripts": []}
+        return self.__dict__ | {"cache": {}, "scored": None, "scripts": []}
 
     def look_up(self, words: Sequence[str]) -> list[int]:
         """Cache rows of lower-case words; scored gets, for new ones, each language's log-likelihood (-inf where
         the word's script rules the language out)."""
         cache = self.cache
-        if len(cache) > 400_000:
-            for kept in (cache, self.scored, self.scripts):
-                kept.clear()
+        if len(cache) > CACHED_WORDS:
+            cache.clear()
+            self.scripts.clear()
+            self.scored = None
         if new := [w for w in set(words) if w not in cache]:
             other, find, flat, sizes = len(self.grams), self.grams.get, [], []
             for w in new:
@@ -96,9 +99,14 @@ class LanguageModel:
                 masks[name] = np.full(len(self.languages), -np.inf, np.float32)
                 masks[name][self.by_script.get(name, [])] = 0
             total += np.array([masks[x] for x in scripts])
-            for k, w in enumerate(new, len(self.scored)):
+            for k, w in enumerate(new, len(self.scripts)):
                 cache[w] = k
-            self.scored += list(total)
+            have = len(self.scripts)
+            if self.scored is None or have + len(new) > len(self.scored):
+                grown = np.empty((max(2 * have, have + len(new), 65_536), total.shape[1]), np.float32)
+                grown[:have] = self.scored[:have] if have else 0
+                self.scored = grown
+            self.scored[have : have + len(new)] = total
             self.scripts += scripts
         return [cache[w] for w in words]
 
@@ -218,7 +226,7 @@ def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: floa
     if not len(ids):
         return out
     uniq, place = np.unique(ids, return_inverse=True)
-    scores = np.array([model.scored[k] for k in uniq], np.float32)
+    scores = model.scored[uniq]
     known = np.isfinite(scores).any(1)
     doc = np.repeat(np.arange(len(texts)), lengths)
     # only the languages that some word of a document admits are its states: documents of like scripts go together
@@ -287,9 +295,9 @@ def _labeller(model: LanguageModel, penalty: float):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts, rows, at = b.tolist(), [], 0
-            while at < len(texts):  # about a million characters at a time, at least one text
+            while at < len(texts):  # about half a million characters at a time, at least one text
                 upto, size = at, 0
-                while upto < len(texts) and (upto == at or size < 1_000_000):
+                while upto < len(texts) and (upto == at or size < 500_000):
                     size += len(texts[upto] or "")
                     upto += 1
                 rows += label_texts(texts[at:upto], model, penalty)
@@ -333,6 +341,3 @@ def keep_identified(docs: DataFrame, *, text: str = "text", lang: str = "lang",
     model = model or train(docs, text=text, lang=lang, doc_id=doc_id, train_docs=train_docs)
     rows = packed(docs, f=_labeller(model, penalty)(col(text)))
     return unpacked(rows.where(_keep(model, languages, min_share)), docs.columns)
-
-
-__all__ = ["LanguageModel", "ROW", "fit", "identify", "keep_identified", "label_texts", "script", "train", "viterbi"]
