@@ -26,26 +26,26 @@ CACHED_WORDS = 150_000
 #: Texts with fewer letters aren't judged by how likely their letters are.
 LEAST_LETTERS = 200
 _WORD = re.compile(r"[^\W\d_]+")
-#: (first, last, script, its language if the labelled rows have none in that script)
+#: (first, last, script, its languages if the labelled rows have none in that script)
 SCRIPTS = [
-    (0x0041, 0x024F, "Latin", "la"),
-    (0x1E00, 0x1EFF, "Latin", "la"),
-    (0x0370, 0x03FF, "Greek", "el"),
-    (0x1F00, 0x1FFF, "Greek", "el"),
-    (0x0400, 0x052F, "Cyrillic", "ru"),
-    (0x0530, 0x058F, "Armenian", "hy"),
-    (0x0590, 0x05FF, "Hebrew", "he"),
-    (0x0600, 0x077F, "Arabic", "ar"),
-    (0x0900, 0x097F, "Devanagari", "hi"),
-    (0x0980, 0x09FF, "Bengali", "bn"),
-    (0x0B80, 0x0BFF, "Tamil", "ta"),
-    (0x0E00, 0x0E7F, "Thai", "th"),
-    (0x10A0, 0x10FF, "Georgian", "ka"),
-    (0x3040, 0x30FF, "Kana", "ja"),
-    (0x31F0, 0x31FF, "Kana", "ja"),
-    (0x3400, 0x9FFF, "Han", "zh"),
-    (0xAC00, 0xD7AF, "Hangul", "ko"),
-    (0x1100, 0x11FF, "Hangul", "ko"),
+    (0x3400, 0x9FFF, "Han", ("zh", "ja")),
+    (0x0041, 0x024F, "Latin", ("la",)),
+    (0x1E00, 0x1EFF, "Latin", ("la",)),
+    (0x0370, 0x03FF, "Greek", ("el",)),
+    (0x1F00, 0x1FFF, "Greek", ("el",)),
+    (0x0400, 0x052F, "Cyrillic", ("ru",)),
+    (0x0530, 0x058F, "Armenian", ("hy",)),
+    (0x0590, 0x05FF, "Hebrew", ("he",)),
+    (0x0600, 0x077F, "Arabic", ("ar",)),
+    (0x0900, 0x097F, "Devanagari", ("hi",)),
+    (0x0980, 0x09FF, "Bengali", ("bn",)),
+    (0x0B80, 0x0BFF, "Tamil", ("ta",)),
+    (0x0E00, 0x0E7F, "Thai", ("th",)),
+    (0x10A0, 0x10FF, "Georgian", ("ka",)),
+    (0x3040, 0x30FF, "Kana", ("ja",)),
+    (0x31F0, 0x31FF, "Kana", ("ja",)),
+    (0xAC00, 0xD7AF, "Hangul", ("ko",)),
+    (0x1100, 0x11FF, "Hangul", ("ko",)),
 ]
 
 
@@ -126,11 +126,10 @@ def fit(texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
         own = [x for x in languages if seen[x] > 0.2 * sum(v[x] for v in where.values())]
         if s != "Other" and own:
             by_script[s] = [languages.index(x) for x in own]
-    for _, _, s, x in SCRIPTS:
+    for _, _, s, own in SCRIPTS:
         if s not in by_script:
-            if x not in languages:
-                languages.append(x)
-            by_script[s] = [languages.index(x)]
+            languages += [x for x in own if x not in languages]
+            by_script[s] = [languages.index(x) for x in own]
     vocabulary = {g for c in counts.values() for g in c}
     vocabulary = sorted(vocabulary)
     table = np.full((len(vocabulary) + 1, len(languages)), -12.0, np.float32)
@@ -313,9 +312,9 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
     Script ranges narrow each word's candidate languages; where several remain, letter trigrams score them; Viterbi
     over the word scores, with ``penalty`` for each switch, labels spans (start, end, lang), in characters, that
     cover the text. ``lang`` is the language with most letters, ``share`` its part of them. ``keep`` is false for a
-    text without a word of a known script (null and empty texts too: lang null, no spans), for one in whose letters
-    no language has ``min_share``, for one unlike all languages (letters less likely than in any labelled text of
-    some length, by a margin), and, if ``languages`` is given, for one in another language.
+    text without a word of a known script (null and empty texts too: lang null, no spans), for one unlike all
+    languages (letters less likely than in any labelled text of some length, by a margin), and, if ``languages`` is
+    given, for one of which spans in those make up less than ``min_share``. Mixing languages is no reason to go.
 
     The model is fitted on ``train_docs`` labelled documents a language unless one is given; ties between languages
     go to the first by name. Null ids and repeated rows stay as they are.
@@ -327,11 +326,13 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
 
 
 def _keep(model: LanguageModel, languages: Sequence[str] | None, min_share: float):
-    keep = F.col("f.lang").isNotNull() & (F.col("f.share") >= min_share)
+    keep = F.col("f.lang").isNotNull()
     if np.isfinite(model.floor):
-        keep = keep & (F.col("f.level") >= model.floor)
+        keep = keep & (F.col("f.level") >= float(model.floor))
     if languages is not None:
-        keep = keep & F.col("f.lang").isin(list(languages))
+        size = lambda a, x: a + x["end"] - x["start"]
+        wanted = F.aggregate(F.filter("f.spans", lambda x: x["lang"].isin(list(languages))), F.lit(0), size)
+        keep = keep & (wanted >= min_share * F.aggregate("f.spans", F.lit(0), size))
     return F.coalesce(keep, F.lit(False))
 
 
