@@ -68,7 +68,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id"
     table = table.where(F.col("known_digest") != F.sha2(F.lit(""), 256)).groupBy("known_digest").agg(F.min("license_id").alias("license_id"))
     signed = docs.select(col(doc_id).alias("doc_id"), F.sha2(canonical(col(text)), 256).alias("digest"))
     # the list is small and its size known to the planner, which picks a broadcast or a shuffled hash join by it
-    return signed.join(table.hint("shuffle_hash") if len(known) > 100_000 else table, signed.digest == table.known_digest, "left").select("doc_id", "digest", "license_id")
+    return signed.join(table, signed.digest == table.known_digest, "left").select("doc_id", "digest", "license_id")
 
 
 def scan_licenses_sql(table: str = "documents", known: Sequence[tuple[str, str]] = LICENSES) -> str:
