@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -16,25 +15,33 @@ from pyspark.sql import types as T
 from .common import col, require
 
 #: Labelled documents, clean and toxic, that training reads at most.
-TRAIN_DOCS = (1000, 500)
+TRAIN_DOCS = (1500, 750)
 WINDOW = 64
 STRIDE = 48
 HIDDEN = 16
 CHAR_HIDDEN = 8
 CHAR_DIM = 8
 WORD_DIM = 16
-WORD_BUCKETS = 1 << 13
+#: Words in fewer training documents share one embedding: single documents' words can't be learnt by heart.
+LEAST_DOCS = 4
 LONGEST_WORD = 24
+#: Words whose gate inputs a task remembers.
+CACHED_WORDS = 100_000
 EPOCHS = 10
 SEED = 2
 
 _WORD = re.compile(r"[^\W_]+(?:[@$*!'’][^\W_]+)*")
-_LETTERS = {c: k for k, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789@$*!'’", 2)}
+_LETTERS = {c: k for k, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789@$*!'’àáâäãåæçèéêëìíîïñòóôöõøœùúûüýß", 1)}
+#: Letters that aren't listed share this many ids.
+_SHARED = 64
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case words; signs inside a word, as in 's@me', stay."""
-    return _WORD.findall(text.lower())
+    """Lower-case words; signs inside a word, as in 's@me', stay. Words of more than LONGEST_WORD letters come in pieces."""
+    words = _WORD.findall(text.lower())
+    if words and max(map(len, words)) > LONGEST_WORD:
+        words = [w[i : i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
+    return words
 
 
 def windows_of(n: int, window: int = WINDOW, stride: int = STRIDE) -> list[tuple[int, int]]:
@@ -164,9 +171,10 @@ class BiGRU:
 
 @dataclass
 class ToxicityModel:
-    """Characters -> BiGRU with attention -> word vector; with a hashed word embedding -> BiGRU with attention -> logit."""
+    """Characters -> BiGRU with attention -> word vector; with the word's embedding -> BiGRU with attention -> logit."""
 
     p: dict[str, np.ndarray]
+    vocabulary: dict[str, int]  # rows of p["words"]; 0 is for all other words
     threshold: float = 0.5
     known: dict[str, int] = field(default_factory=dict, repr=False)
     gates: np.ndarray | None = field(default=None, repr=False)
@@ -175,22 +183,20 @@ class ToxicityModel:
         self.chars, self.words = BiGRU(self.p, "c_", CHAR_DIM, CHAR_HIDDEN), BiGRU(self.p, "w_", 2 * CHAR_HIDDEN + WORD_DIM, HIDDEN)
 
     def __getstate__(self):
-        return {"p": self.p, "threshold": self.threshold}
+        return {"p": self.p, "vocabulary": self.vocabulary, "threshold": self.threshold}
 
     def __setstate__(self, state):
         self.__dict__.update(state, known={}, gates=None)
         self.__post_init__()
 
-    @staticmethod
-    def spell(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Letter ids (padded), lengths and embedding buckets of words. A word's letters past LONGEST_WORD are folded
-        in by its embedding bucket alone."""
-        lengths = np.array([min(len(w), LONGEST_WORD) for w in words], np.int64)
+    def spell(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Letter ids (padded with 0), lengths and embedding rows of words."""
+        lengths = np.array([len(w) for w in words], np.int64)
         ids = np.zeros((len(words), int(lengths.max(initial=1))), np.int64)
-        find = _LETTERS.get
+        find, other = _LETTERS.get, len(_LETTERS) + 1
         for k, w in enumerate(words):
-            ids[k, : lengths[k]] = [find(c, 1) for c in w[:LONGEST_WORD]]
-        return ids, lengths, np.array([zlib.crc32(w.encode()) % WORD_BUCKETS for w in words], np.int64)
+            ids[k, : len(w)] = [find(c) or other + ord(c) % _SHARED for c in w]
+        return ids, lengths, np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
 
     def embed(self, words: Sequence[str]) -> np.ndarray:
         """Gate inputs (2, n, 3h) of the word network for n distinct words."""
@@ -206,14 +212,20 @@ class ToxicityModel:
 
     def look_up(self, words: list[str]) -> np.ndarray:
         """Rows of self.gates for words, each distinct word being embedded once as long as it is remembered."""
-        if len(self.known) > 150_000:
+        if len(self.known) > CACHED_WORDS:
             self.known.clear()
             self.gates = None
         if new := [w for w in dict.fromkeys(words) if w not in self.known]:
             made = self.embed(new)
             for k, w in enumerate(new, len(self.known)):
                 self.known[w] = k
-            self.gates = made if self.gates is None else np.concatenate([self.gates, made], 1)
+            have = len(self.known) - len(new)
+            if self.gates is None or len(self.known) > self.gates.shape[1]:
+                grown = np.empty((2, max(2 * have, len(self.known), 32_768), made.shape[2]), np.float32)
+                if have:
+                    grown[:, :have] = self.gates[:, :have]
+                self.gates = grown
+            self.gates[:, have : len(self.known)] = made
         known = self.known
         return np.fromiter((known[w] for w in words), np.int64, len(words))
 
@@ -251,7 +263,7 @@ class ToxicityModel:
 def fit(texts: Sequence[str], toxic: Sequence[int], *, epochs: int = EPOCHS, seed: int = SEED) -> ToxicityModel:
     """Trains on labelled documents: a document is as toxic as its worst window (multiple-instance learning).
 
-    Each epoch scores all windows, then learns from the worst of each document, and for clean documents from a
+    Every other epoch scores all windows; each learns from the worst of each document, and for clean documents from a
     random one too; in the first epochs the worst is the window whose words are most peculiar to toxic documents.
     Adam, logistic loss with classes weighted alike. A word's letters or its embedding are left out at times, so
     that neither is relied on alone. The threshold lies between the scores of clean and of toxic documents that
@@ -259,14 +271,14 @@ def fit(texts: Sequence[str], toxic: Sequence[int], *, epochs: int = EPOCHS, see
     """
     rng = np.random.default_rng(seed)
     p: dict[str, np.ndarray] = {
-        "chars": rng.normal(0, 0.5, (len(_LETTERS) + 2, CHAR_DIM)).astype(np.float32),
-        "words": rng.normal(0, 0.1, (WORD_BUCKETS, WORD_DIM)).astype(np.float32),
+        "chars": rng.normal(0, 0.5, (len(_LETTERS) + 1 + _SHARED, CHAR_DIM)).astype(np.float32),
+        "words": np.zeros((1, WORD_DIM), np.float32),
         "v": rng.normal(0, 0.3, 2 * HIDDEN).astype(np.float32),
         "a": np.zeros((), np.float32),
     }
     BiGRU(p, "c_", CHAR_DIM, CHAR_HIDDEN, rng)
     BiGRU(p, "w_", 2 * CHAR_HIDDEN + WORD_DIM, HIDDEN, rng)
-    model = ToxicityModel(p)
+    model = ToxicityModel(p, {})
     y = np.array(toxic, np.float32)
     if not len(y) or y.min() == y.max():
         model.threshold = 1.0 if not len(y) or y.max() == 0 else 0.5
@@ -283,19 +295,28 @@ def fit(texts: Sequence[str], toxic: Sequence[int], *, epochs: int = EPOCHS, see
     owner = np.array([k for k, s in enumerate(spans) for _ in s], np.int64)
     held = rng.random(len(y)) < 0.15
     share = {c: max(1, int(((y == c) & ~held).sum())) for c in (0, 1)}
-    letters, sizes, buckets = model.spell(vocabulary)
     seen = np.zeros((2, len(vocabulary)))
     for t, c, h in zip(tokens, y, held):
         if not h:
             seen[int(c), [number[w] for w in set(t)]] += 1
-    odds = np.log((seen[1] + 0.5) / (share[1] + 1)) - np.log((seen[0] + 0.5) / (share[0] + 1))
-    odds[seen.sum(0) < 3] = 0
-    odds = np.cumsum(np.r_[0, np.maximum(odds - 1, 0)[ids[:-1]]])
+    odds = np.log((seen[1] + 2) / (share[1] + 4)) - np.log((seen[0] + 2) / (share[0] + 4))
+    frequent = np.flatnonzero(seen.sum(0) >= LEAST_DOCS)
+    odds[seen.sum(0) < LEAST_DOCS] = 0
+    own = {vocabulary[k]: r for r, k in enumerate(frequent, 1)}
+    p["words"] = rng.normal(0, 0.1, (len(own) + 1, WORD_DIM)).astype(np.float32)
+    p["words"][1:, 0] = np.clip(odds[frequent], -2, 4) / 2  # how peculiar to toxic documents, to begin with
+    p["words"][0] = 0
+    model = ToxicityModel(p, own)
+    letters, sizes, buckets = model.spell(vocabulary)
+    odds = np.cumsum(np.r_[0, np.maximum(odds - 1.2, 0)[ids[:-1]]])
     prior = odds[ends] - odds[begins]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     for epoch in range(epochs):
-        scores = prior if epoch < 3 else model.logits(model.embed(vocabulary), ids, begins, ends)
+        if epoch < 3:
+            scores = prior
+        elif epoch % 2:
+            scores = model.logits(model.embed(vocabulary), ids, begins, ends)
         worst: dict[int, int] = {}
         for k in np.argsort(scores, kind="stable"):
             worst[int(owner[k])] = int(k)
@@ -343,15 +364,18 @@ def fit(texts: Sequence[str], toxic: Sequence[int], *, epochs: int = EPOCHS, see
                 s += 0.01 * g[k] ** 2
                 move = rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
                 p[k] = v - move.astype(np.float32)
-            model = ToxicityModel(p)
-    scores = _sigmoid(model.logits(model.embed(vocabulary), ids, begins, ends))
-    top = np.zeros(len(y))
+            model = ToxicityModel(p, own)
+    scores = model.logits(model.embed(vocabulary), ids, begins, ends)
+    top = np.full(len(y), -30.0)
     np.maximum.at(top, owner, scores)
     clean, hot = top[(y == 0) & held], top[(y == 1) & held]
-    low = float(np.quantile(clean, 0.99)) if len(clean) else 0.5
-    high = float(np.quantile(hot, 0.02)) if len(hot) else 0.9
-    # a little below nearly all toxic ones; above nearly all clean ones if that is possible as well
-    model.threshold = float(np.clip(max(low, _sigmoid(np.log(high / (1 - high + 1e-6) + 1e-6) - 1)), 0.5, 0.93))
+    if len(clean) and len(hot):
+        # where misses and three times the false alarms are fewest; the middle of equally good places
+        places = np.sort(np.r_[clean, hot])
+        between = np.r_[places[0] - 1, (places[1:] + places[:-1]) / 2, places[-1] + 1]
+        wrong = np.array([(hot <= x).mean() + 3 * (clean > x).mean() for x in between])
+        best = between[wrong <= wrong.min() + 1e-9]
+        model.threshold = float(_sigmoid(np.clip((best.min() + best.max()) / 2, 0, 12)))
     return model
 
 
@@ -381,7 +405,7 @@ def _scorer(model: ToxicityModel, best: bool):
             texts, rows, at = b.tolist(), [], 0
             while at < len(texts):
                 upto, size = at, 0
-                while upto < len(texts) and (upto == at or size < 1_500_000):
+                while upto < len(texts) and (upto == at or size < 500_000):
                     size += len(texts[upto] or "")
                     upto += 1
                 rows += model.score_texts(texts[at:upto])
