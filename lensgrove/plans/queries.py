@@ -364,14 +364,14 @@ def text_tails(spark, d):
 
 
 @query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' WHEN 2 THEN 'SKIP' END AS mark, '(' || (doc_id % 256)::VARCHAR || ',7,9)' AS rgb,
-          CASE WHEN doc_id % 2 = 0 THEN lang ELSE source END AS first, [1, 2, CAST(doc_id AS INTEGER)] AS numbers FROM documents""")
+          CASE WHEN doc_id % 2 = 0 THEN lang ELSE source END AS first, '1;2;' || doc_id::VARCHAR AS numbers FROM documents""")
 def small_texts(spark, d):
     m = F.pmod("doc_id", F.lit(4))
     status = F.when(m == 0, "ok").when(m == 1, "failed").when(m == 2, "skipped").otherwise("other")
     rgb = F.struct(F.pmod("doc_id", F.lit(256)).cast("int").alias("r"), F.lit(7).alias("g"), F.lit(9).alias("b"))
     first = L.first_filled(F.when(F.pmod("doc_id", F.lit(2)) == 0, F.col("lang")).otherwise(""), F.col("source"))
     numbers = L.int_list(F.concat(F.lit("1, 2,,"), F.col("doc_id").cast("string")))
-    return table(spark, d, "documents").select("doc_id", L.marker(status).alias("mark"), L.rgb_text(rgb).alias("rgb"), first.alias("first"), numbers.alias("numbers"))
+    return table(spark, d, "documents").select("doc_id", L.marker(status).alias("mark"), L.rgb_text(rgb).alias("rgb"), first.alias("first"), F.array_join(numbers.cast("array<string>"), ";").alias("numbers"))
 
 
 @query()
