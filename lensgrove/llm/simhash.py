@@ -18,8 +18,8 @@ from .components import components
 BITS = 128
 BLOCKS = 8
 WIDTH = BITS // BLOCKS
-BUDGET = 22
-LENGTH_RATIO = 0.8
+BUDGET = 23
+LENGTH_RATIO = 0.72
 LEAST_FEATURES = 8
 #: Row pairs compared, and node pairs expanded, at a time: they bound a task's memory, not what it finds.
 CELLS = 250_000
@@ -77,7 +77,7 @@ def simhash(texts: list[str | None]) -> tuple[list[bytes | None], list[int]]:
     return out, sizes
 
 
-_SIGNED = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("n", T.IntegerType())])
+_SIGNED = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("n", T.IntegerType())])
 
 
 def _simhash_batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -87,7 +87,8 @@ def _simhash_batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             some = simhash(t.iloc[a : a + 256].tolist())
             fp += some[0]
             n += some[1]
-        yield pd.DataFrame({"fp": pd.Series(fp, dtype=object), "n": np.array(n, np.int32)})
+        halves = np.frombuffer(b"".join(x or bytes(BITS // 8) for x in fp), ">i8").reshape(-1, 2).astype(np.int64)
+        yield pd.DataFrame({"fp": pd.Series(fp, dtype=object), "hi": halves[:, 0], "lo": halves[:, 1], "n": np.array(n, np.int32)})
 
 
 def band(n: Column) -> Column:
@@ -216,7 +217,7 @@ def _join_tries(budget: int, ratio: float, linked: bool):
             return
         rows = pd.concat(got, ignore_index=True)
         del got
-        fp = np.frombuffer(b"".join(rows.pop("fp")), np.uint8).reshape(-1, BITS // 8)
+        fp = np.stack([rows.pop("hi").to_numpy(np.int64), rows.pop("lo").to_numpy(np.int64)], 1).astype(">i8").view(np.uint8)
         turn, level = rows["turn"].to_numpy(np.int64), rows["band"].to_numpy(np.int64)
         keys = rotated(fp, turn)
         root = level * BLOCKS + turn
@@ -235,27 +236,31 @@ def _join_tries(budget: int, ratio: float, linked: bool):
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, n) of every document that has a word; others have no fingerprint and resemble nothing."""
+    """(doc_id, fp, hi, lo, n) of every document that has a word; others have no fingerprint and resemble nothing.
+
+    fp is hi and lo, its halves, as bytes; n counts features.
+    """
     require(docs, text, doc_id)
     signed = docs.select(col(doc_id).alias("doc_id"), F.pandas_udf(_simhash_batches, _SIGNED)(col(text)).alias("s"))
-    return signed.select("doc_id", "s.fp", "s.n").where("fp is not null")
+    return signed.select("doc_id", "s.fp", "s.hi", "s.lo", "s.n").where("fp is not null")
 
 
 def fingerprint_pairs(prints: DataFrame, *, budget: int = BUDGET, ratio: float = LENGTH_RATIO, linked: bool = False) -> DataFrame:
     """All pairs (u, v) of distinct fingerprints at most ``budget`` bits apart; with ``linked``, a spanning forest of
     what the pairs connect, which grows with the fingerprints however large their groups are.
 
-    prints: one row (fp, n) for each document. Fingerprints are first made distinct, so that thousands of copies
+    prints: one row (hi, lo, n) for each document. Fingerprints are first made distinct, so that thousands of copies
     count once. Each distinct fingerprint goes to the tries of its length band, and as a visitor to those of the
     band above, in all BLOCKS rotations: 16 narrow rows, whatever the number of partners. Nothing is capped.
     """
-    distinct = prints.groupBy("fp", band(F.col("n")).alias("band")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    distinct = prints.groupBy("hi", "lo", band(F.col("n")).alias("band")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     routed = distinct.select(
-        "fp",
+        "hi",
+        "lo",
         "low",
         "high",
         F.explode(F.array(*[F.struct((F.col("band") + v).alias("band"), F.lit(bool(v)).alias("visit"), F.lit(r).alias("turn")) for v in (0, 1) for r in range(BLOCKS)])).alias("to"),
-    ).select("fp", "low", "high", "to.*")
+    ).select("hi", "lo", "low", "high", "to.*")
     parts = routed.repartition("band", "turn")
     found = parts.mapInPandas(_join_tries(budget, ratio, linked), _PAIR)
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
