@@ -33,6 +33,14 @@ def unpacked(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(ROW).getField(n).alias(n) for n in names])
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Have texts sent to Python in batches of some megabytes instead of 10,000 rows of any length: what a task holds
+    then doesn't depend on how long texts are. A limit that the session has already stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(size))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors see.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, require, unpacked
+from .common import col, packed, require, small_batches, unpacked
 
 #: Labelled documents a language that the word model is fitted on, at most.
 TRAIN_DOCS = 150
@@ -320,6 +320,7 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
     go to the first by name. Null ids and repeated rows stay as they are.
     """
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     model = model or train(docs, text=text, lang=lang, doc_id=doc_id, train_docs=train_docs)
     found = docs.select(col(doc_id).alias("doc_id"), _labeller(model, penalty)(col(text)).alias("f"))
     return found.select("doc_id", "f.lang", "f.share", "f.spans", _keep(model, languages, min_share).alias("keep"))
@@ -339,6 +340,7 @@ def _keep(model: LanguageModel, languages: Sequence[str] | None, min_share: floa
 def keep_identified(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", languages: Sequence[str] | None = None, penalty: float = SWITCH_PENALTY, min_share: float = MIN_SHARE, train_docs: int = TRAIN_DOCS, model: LanguageModel | None = None) -> DataFrame:
     """``docs`` without the rows that identify() rejects; columns are unchanged."""
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     model = model or train(docs, text=text, lang=lang, doc_id=doc_id, train_docs=train_docs)
     rows = packed(docs, f=_labeller(model, penalty)(col(text)))
     return unpacked(rows.where(_keep(model, languages, min_share)), docs.columns)

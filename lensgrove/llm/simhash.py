@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, col, require
+from .common import Workspace, col, require, small_batches
 from .components import components
 
 BITS = 128
@@ -241,6 +241,7 @@ def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id")
     fp is hi and lo, its halves, as bytes; n counts features.
     """
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     signed = docs.select(col(doc_id).alias("doc_id"), F.pandas_udf(_simhash_batches, _SIGNED)(col(text)).alias("s"))
     return signed.select("doc_id", "s.fp", "s.hi", "s.lo", "s.n").where("fp is not null")
 
