@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, require
+from .common import col, require, small_batches
 
 #: Labelled documents, clean and toxic, that training reads at most.
 TRAIN_DOCS = (1500, 750)
@@ -26,7 +27,7 @@ WORD_DIM = 16
 LEAST_DOCS = 4
 LONGEST_WORD = 24
 #: Words whose gate inputs a task remembers.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 120_000
 EPOCHS = 10
 SEED = 2
 
@@ -34,6 +35,7 @@ _WORD = re.compile(r"[^\W_]+(?:[@$*!'’][^\W_]+)*")
 _LETTERS = {c: k for k, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789@$*!'’àáâäãåæçèéêëìíîïñòóôöõøœùúûüýß", 1)}
 #: Letters that aren't listed share this many ids.
 _SHARED = 64
+_ID_OF = np.array([_LETTERS.get(chr(c), len(_LETTERS) + 1 + c % _SHARED) for c in range(0x2100)], np.int64)
 
 
 def words_of(text: str) -> list[str]:
@@ -191,12 +193,12 @@ class ToxicityModel:
 
     def spell(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Letter ids (padded with 0), lengths and embedding rows of words."""
-        lengths = np.array([len(w) for w in words], np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         ids = np.zeros((len(words), int(lengths.max(initial=1))), np.int64)
-        find, other = _LETTERS.get, len(_LETTERS) + 1
-        for k, w in enumerate(words):
-            ids[k, : len(w)] = [find(c) or other + ord(c) % _SHARED for c in w]
-        return ids, lengths, np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
+        ids[np.arange(ids.shape[1])[None] < lengths[:, None]] = np.where(codes < len(_ID_OF), _ID_OF[np.minimum(codes, len(_ID_OF) - 1)], len(_LETTERS) + 1 + codes % _SHARED)
+        find = self.vocabulary.get
+        return ids, lengths, np.fromiter((find(w, 0) for w in words), np.int64, len(words))
 
     def embed(self, words: Sequence[str]) -> np.ndarray:
         """Gate inputs (2, n, 3h) of the word network for n distinct words."""
@@ -212,22 +214,20 @@ class ToxicityModel:
 
     def look_up(self, words: list[str]) -> np.ndarray:
         """Rows of self.gates for words, each distinct word being embedded once as long as it is remembered."""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-            self.gates = None
+        if len(self.known) > CACHED_WORDS:  # those seen first are mostly the frequent ones: they stay
+            self.known = dict(islice(self.known.items(), CACHED_WORDS // 3))
         if new := [w for w in dict.fromkeys(words) if w not in self.known]:
             made = self.embed(new)
             for k, w in enumerate(new, len(self.known)):
                 self.known[w] = k
-            have = len(self.known) - len(new)
+            have = len(self.known) - len(new)  # rows beyond are free
             if self.gates is None or len(self.known) > self.gates.shape[1]:
                 grown = np.empty((2, max(2 * have, len(self.known), 32_768), made.shape[2]), np.float32)
                 if have:
                     grown[:, :have] = self.gates[:, :have]
                 self.gates = grown
             self.gates[:, have : len(self.known)] = made
-        known = self.known
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def logits(self, gates: np.ndarray, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, batch: int = 512) -> np.ndarray:
         """Of windows [begin, end) of ids; windows of like length go together."""
@@ -421,6 +421,7 @@ def _scorer(model: ToxicityModel, best: bool):
 def score_windows(docs: DataFrame, model: ToxicityModel, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, first_word, end_word, score) of every window of every document."""
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     found = docs.select(col(doc_id).alias("doc_id"), F.explode(_scorer(model, False)(col(text))).alias("w"))
     return found.select("doc_id", "w.first_word", "w.end_word", "w.score")
 
@@ -434,6 +435,7 @@ def toxic_documents(docs: DataFrame, labels: DataFrame | None = None, *, model:
     repeated rows stay as they are. Empty tables give no rows; labels of one class only give a constant model.
     """
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     if model is None:
         if labels is None:
             raise ValueError("labels or a model")
