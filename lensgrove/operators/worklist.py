@@ -40,8 +40,15 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "global_index"
     """
     lead = F.col(order[0])
     points = df.agg(F.percentile_approx(lead, [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
-    edges = F.array(*[F.lit(p) for p in sorted(set(points))]) if points else F.array().cast("array<double>")
-    ranged = df.withColumn("__range", F.when(lead.isNull(), F.lit(ranges)).otherwise(F.size(F.filter(edges, lambda e: e < lead))))
+    edges = sorted(set(points))
+
+    def below(low: int, high: int) -> Column:  # how many edges are less than the value, by halving
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(lead > F.lit(edges[middle]), below(middle + 1, high)).otherwise(below(low, middle))
+
+    ranged = df.withColumn("__range", F.when(lead.isNull(), F.lit(ranges)).otherwise(below(0, len(edges))))
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # over at most ``ranges`` + 1 rows
     starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
