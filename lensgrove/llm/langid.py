@@ -69,6 +69,8 @@ class LanguageModel:
     grams: dict[str, int]
     table: np.ndarray  # a row for each of grams, and a last one for all others
     floor: float = -np.inf
+    #: Scripts with a labelled language. The others admit fallback languages, whose scores say nothing of a text.
+    learnt: frozenset[str] = frozenset()
     #: Words scored so far: rows of scored, and their scripts.
     cache: dict[str, int] = field(default_factory=dict, repr=False)
     scored: np.ndarray | None = field(default=None, repr=False)
@@ -126,6 +128,7 @@ def fit(texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
         own = [x for x in languages if seen[x] > 0.2 * sum(v[x] for v in where.values())]
         if s != "Other" and own:
             by_script[s] = [languages.index(x) for x in own]
+    learnt = frozenset(by_script)
     for _, _, s, own in SCRIPTS:
         if s not in by_script:
             languages += [x for x in own if x not in languages]
@@ -137,7 +140,7 @@ def fit(texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
         if x in counts:
             total = sum(counts[x].values()) + 0.5 * (len(vocabulary) + 1)
             table[:, k] = np.log((np.array([counts[x][g] for g in vocabulary] + [0]) + 0.5) / total)
-    model = LanguageModel(languages, by_script, {g: k for k, g in enumerate(vocabulary)}, table)
+    model = LanguageModel(languages, by_script, {g: k for k, g in enumerate(vocabulary)}, table, learnt=learnt)
     means = [x[3] for x in label_texts(texts, model) if x[3]]
     if means:
         model.floor = min(means) - 3 * float(np.std(means)) - 0.5
@@ -211,7 +214,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, block: int
 
 def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: float = SWITCH_PENALTY) -> list[tuple[list[tuple[int, int, str]], str | None, float, float]]:
     """For each text: spans (start, end, language) that cover it, its main language, that one's share of letters, and
-    the mean score of a letter (0.0 below LEAST_LETTERS). A text without a word of a known script has no span, language None and 0.0 twice."""
+    the mean score of a letter in the scripts that labelled languages have (0.0 below LEAST_LETTERS of those). A text without a word of a known script has no span, language None and 0.0 twice."""
     ids, lengths, letters = [], [], []
     for t in texts:
         words = _WORD.findall(t.lower()) if t else []
@@ -248,8 +251,9 @@ def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: floa
     weight = letters * (state >= 0)
     top = np.where(known, np.where(np.isfinite(scores), scores, -np.inf).max(1, initial=-np.inf), 0)
     total = np.bincount(doc, weight, len(texts))
-    read = np.bincount(doc, letters * known[place], len(texts))
-    level = np.where(read >= LEAST_LETTERS, np.bincount(doc, top[place] * known[place], len(texts)) / np.maximum(read, 1), 0)
+    judged = np.array([scripts[k] in model.learnt for k in uniq])[place]
+    read = np.bincount(doc, letters * judged, len(texts))
+    level = np.where(read >= LEAST_LETTERS, np.bincount(doc, top[place] * judged, len(texts)) / np.maximum(read, 1), 0)
     by = np.zeros((len(texts), len(model.languages)))
     np.add.at(by, (doc[state >= 0], state[state >= 0]), weight[state >= 0])
     ends = np.cumsum(lengths)
@@ -313,7 +317,8 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
     over the word scores, with ``penalty`` for each switch, labels spans (start, end, lang), in characters, that
     cover the text. ``lang`` is the language with most letters, ``share`` its part of them. ``keep`` is false for a
     text without a word of a known script (null and empty texts too: lang null, no spans), for one unlike all
-    languages (letters less likely than in any labelled text of some length, by a margin), and, if ``languages`` is
+    languages (letters less likely than in any labelled text of some length, by a margin; letters in scripts that no
+    labelled text is in don't count), and, if ``languages`` is
     given, for one of which spans in those make up less than ``min_share``. Mixing languages is no reason to go.
 
     The model is fitted on ``train_docs`` labelled documents a language unless one is given; ties between languages

@@ -391,6 +391,17 @@ def test_mixed_languages(spark, docs):
     assert [langid.identify(both, model=model, languages=x).first()["keep"] for x in (None, ["en", "ru"], ["de"], ["ru"])] == [True, True, False, False]
 
 
+def test_long_texts_in_scripts_without_labels_stay(spark, docs):
+    model = langid.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    en = next(r["text"] for r in docs.where("lang = 'en' and n_chars > 1500").collect())[:1000]
+    ru, zh = "Сегодня утром мы долго шли вдоль тихой реки. " * 40, "今天早上我們沿著安靜的河走了很久。" * 40
+    gibberish = " ".join("xqzvkwj"[k % 7 :] + "kqxzv" for k in range(100))
+    rows = [(1, ru), (2, zh), (3, en + " " + ru[:1000]), (4, gibberish + " " + ru), (5, gibberish)]
+    got = sorted(langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string"), model=model).collect())
+    assert [r["keep"] for r in got] == [True, True, True, False, False]
+    assert got[0]["lang"] == "ru" and got[0]["share"] == 1.0
+
+
 def test_langid_on_edges(clashing):
     got = langid.identify(clashing).collect()
     assert len(got) == len(EDGE)
