@@ -16,9 +16,12 @@ SLACK = 0.02
 LEAST_LINE = 40
 SEED = 4
 _GAINS = 32
+#: Weights are counted in these parts of a line: whole numbers, so that sums don't depend on their order.
+_UNIT = 1 << 32
 _PARTS = 64
 _BUCKETS = 4096
-
+#: A shard with less than this part of its quota left isn't asked.
+_TIGHT = 0.005
 
 def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
     """(u, v, w): document u shares w lines of ``least_line`` characters or more of which v is the first holder.
@@ -35,6 +38,33 @@ def _lines(text: Column, least_line: int) -> Column:
     return F.array_distinct(F.transform(long, lambda x: F.xxhash64(x)))
 
 
+def _marks(text: Column, least_line: int) -> Column:
+    return _lines(text, least_line)
+
+
+def holders(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
+    """(node, id, n, w): a node stands for the w lines of ``least_line`` characters or more that the
+    same n documents hold, two at least. All pairs of holders are linked by it, in one row a holder."""
+    require(docs, text, doc_id)
+    return _holders(docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), _marks(col(text), least_line).alias("marks")))
+
+
+def _holders(signed: DataFrame) -> DataFrame:
+    held = signed.select("id", F.explode("marks").alias("mark"))
+    h = F.xxhash64("id")  # its halves are summed: the sums can't overflow
+    sums = [F.count("*").alias("n"), F.sum(F.shiftright(h, 32)).alias("s"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("t"), F.min("id").alias("first"), F.max("id").alias("last")]
+    shared = held.groupBy("mark").agg(*sums).where("first <> last").select("mark", F.xxhash64("n", "s", "t", "first", "last").alias("node"), "n")
+    return held.join(shared, "mark").groupBy("node", "id", "n").agg(F.count_distinct("mark").alias("w"))
+
+
+def cut_pairs(held: DataFrame, shards: DataFrame) -> tuple[int, int]:
+    """Weight of the pairs of holders in different shards, and of all. held: as of holders(), shards: (doc_id, shard)."""
+    per = held.join(shards.select(F.col("doc_id").alias("id"), "shard"), "id").groupBy("node", "w", "shard").agg(F.count("*").alias("c"))
+    node = per.groupBy("node", "w").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    got = node.agg(F.sum(F.expr("w * (n * n - q) div 2")).alias("cut"), F.sum(F.expr("w * n * (n - 1) div 2")).alias("total")).first()
+    return got["cut"] or 0, got["total"] or 0
+
+
 def _links(signed: DataFrame) -> DataFrame:
     held = signed.select("id", F.explode("lines").alias("line"))
     first = held.groupBy("line").agg(F.min("id").alias("v"), F.max("id").alias("last")).where("v <> last").select("line", "v")
@@ -58,11 +88,13 @@ def _pick(values: Column, table: dict[int, Column], default: Column) -> Column:
 def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, seed: int = SEED, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
     """(doc_id, shard) for every distinct id: shards of even token sizes that keep linked documents together.
 
-    links() joins documents by shared lines. Linked documents start in a shard by hash; each round joins links with
-    the current shards, and a seeded half of the documents asks to move to the shard that holds most of the weight
-    of their links, if that is more than in their own. A shard admits as much as it has room for below
-    (1 + ``slack``) times an even share, those that gain most first, so the quota is never exceeded. Rounds end early
-    when nobody moves. Documents without links then fill the shards up, in ranges of a seeded hash.
+    holders() joins documents by shared lines: nodes, of which all holders are
+    linked. Linked documents start in a shard by hash; each round counts the holders of each node in each shard, and
+    a seeded half of the documents asks to move to the shard, of those with room, that holds most of the weight
+    of its nodes' other holders, if that is more than in its own. A shard admits as much as it has room for below
+    (1 + ``slack``) times an even share, those that gain most first, so the quota is never exceeded. Who finds the
+    best shard full gathers in the next best. Rounds end early when nobody moves. Documents without links then fill
+    the shards up, in ranges of a seeded hash.
 
     What the driver sees is bounded by ``shards``, not by the documents; each round's shards are written to the
     shared folder. Rows with a null id are left out; rows with one id are one document, with all their tokens. Null
@@ -70,30 +102,37 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUN
     """
     require(docs, text, doc_id)
     space = Workspace(docs.sparkSession)
-    rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _lines(col(text), least_line).alias("lines"))
+    rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _marks(col(text), least_line).alias("marks"))
     signed = space.put(rows)
-    edges = _links(signed)
-    both = space.put(edges.select(F.col("u").alias("a"), F.col("v").alias("b"), "w").unionByName(edges.select(F.col("v").alias("a"), F.col("u").alias("b"), "w")))
+    # a node pulls each holder with its lines, of which each of the n - 1 others has an even part
+    both = space.put(_holders(signed).select("node", "id", F.expr(f"w * {_UNIT}L div (n - 1)").alias("w")))
     sizes = signed.groupBy("id").agg(F.sum("tokens").alias("tokens"))
-    start = sizes.join(both.select(F.col("a").alias("id")).distinct().withColumn("linked", F.lit(True)), "id", "left")
-    every = space.put(start.select("id", "tokens", F.coalesce("linked", F.lit(False)).alias("linked"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int").alias("shard")))
+    start = sizes.join(both.groupBy("id").agg(F.sum("w").alias("self")), "id", "left")
+    every = space.put(start.select("id", "tokens", "self", F.col("self").isNotNull().alias("linked"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int").alias("shard")))
     space.drop(signed)
     total = every.agg(F.sum("tokens")).first()[0] or 0
     quota = int(total / shards * (1 + slack)) + 1
-    now = every.where("linked").select("id", "tokens", "shard")
+    now = every.where("linked").select("id", "tokens", "self", "shard")
     loop = None
     for k in range(rounds):
         held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
-        weights = both.join(now.select(F.col("id").alias("b"), "shard"), "b").groupBy("a", "shard").agg(F.sum("w").alias("w"))
-        own = now.select(F.col("id").alias("a"), "tokens", F.col("shard").alias("own"))
+        room = {x: quota - held.get(x, 0) for x in range(shards)}
+        space_left = _pick(F.col("shard"), {x: F.lit(r if r >= _TIGHT * quota else -1) for x, r in room.items()}, F.lit(-1))
+        count = both.join(now.select("id", "shard"), "id").groupBy("node", "shard").agg(F.count("*").alias("c"))
+        weights = both.join(count, "node").groupBy(F.col("id").alias("a"), "shard").agg(F.sum(F.col("w") * F.col("c")).alias("w"))
+        own = now.select(F.col("id").alias("a"), "tokens", "self", F.col("shard").alias("own"))
+        there = F.col("shard") == F.col("own")
         best = weights.join(own, "a").groupBy("a").agg(
-            F.max(F.struct("w", (-F.col("shard")).alias("s"))).alias("best"),
-            F.coalesce(F.max(F.when(F.col("shard") == F.col("own"), F.col("w"))), F.lit(0)).alias("stay"),
+            F.max(F.when(~there & (F.col("tokens") <= space_left), F.struct("w", (-F.col("shard")).alias("s")))).alias("best"),
+            F.max(F.when(there, F.col("w") - F.col("self"))).alias("stay"),  # without the document itself
             F.first("own").alias("own"),
             F.first("tokens").alias("tokens"),
+            F.first("self").alias("self"),
         )
         turn = F.pmod(F.xxhash64(F.lit(seed * 1000 + k), "a"), F.lit(2 * _PARTS))
-        wish = best.select("a", "tokens", "own", F.when((F.col("best.w") > F.col("stay")) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.least(F.col("best.w") - F.col("stay"), F.lit(_GAINS)).alias("gain"), turn.alias("part"))
+        more = F.col("best.w") - F.col("stay")
+        gain = F.least(F.greatest((2 * (F.log2(more) - 24)).cast("int"), F.lit(1)), F.lit(_GAINS))
+        wish = best.select("a", "tokens", "self", "own", F.when((more > 0) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, gain).alias("gain"), turn.alias("part"))
         wish = space.put(wish)
         asked = wish.where("to is not null").groupBy("to", "gain", "part").agg(F.sum("tokens").alias("t")).collect()  # shards x 32 x 64 rows at most
         if not asked:
@@ -101,16 +140,16 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUN
             break
         limit: dict[int, int] = {}
         for s in range(shards):
-            room, last = quota - held.get(s, 0), -1
+            left, last = room[s], -1
             for r in sorted((r for r in asked if r["to"] == s), key=lambda r: (-r["gain"], r["part"])):
-                room -= r["t"]
-                if room < 0:
+                left -= r["t"]
+                if left < 0:
                     break
                 last = (_GAINS - r["gain"]) * _PARTS + r["part"]
             limit[s] = last
         rank = (F.lit(_GAINS) - F.col("gain")) * _PARTS + F.col("part")
         moved = F.col("to").isNotNull() & (rank <= _pick(F.col("to"), {s: F.lit(x) for s, x in limit.items()}, F.lit(-1)))
-        new = space.put(wish.select(F.col("a").alias("id"), "tokens", F.when(moved, F.col("to")).otherwise(F.col("own")).cast("int").alias("shard")))
+        new = space.put(wish.select(F.col("a").alias("id"), "tokens", "self", F.when(moved, F.col("to")).otherwise(F.col("own")).cast("int").alias("shard")))
         space.drop(wish)
         space.drop(loop)
         now = loop = new

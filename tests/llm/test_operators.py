@@ -337,6 +337,16 @@ def test_links_by_brute_force(docs):
     assert {(r["u"], r["v"]): r["w"] for r in sharding.links(docs).collect()} == want
 
 
+def test_holders_of_a_full_shards_line_gather_elsewhere(spark):
+    rng = random.Random(7)
+    line = "a line that more documents hold than one shard has room for"
+    rows = [(k, (line + "\n" if k < 400 else "") + " ".join(str(rng.random()) for _ in range(25))) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sharding.shard_documents(docs, shards=8).cache()
+    per = [r["count"] for r in got.where("doc_id < 400").groupBy("shard").count().collect()]
+    assert sum(sorted(per)[-5:]) > 0.9 * 400
+
+
 def test_sharding_on_edges(clashing):
     got = [tuple(r) for r in sharding.shard_documents(clashing, shards=3).collect()]
     assert sorted(g[0] for g in got) == sorted({r[0] for r in EDGE if r[0] is not None}) and {g[1] for g in got} <= {0, 1, 2}
