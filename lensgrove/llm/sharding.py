@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Workspace, col, require
+from .common import Workspace, col, require, small_batches
 from .packing import token_count
 
 SHARDS = 16
@@ -15,6 +21,9 @@ ROUNDS = 10
 SLACK = 0.02
 LEAST_LINE = 40
 SEED = 4
+#: Words of a passage, and passages of a window: any SHINGLE + WINDOW - 1 words that two texts share link them.
+SHINGLE = 8
+WINDOW = 8
 _GAINS = 32
 #: Weights are counted in these parts of a line: whole numbers, so that sums don't depend on their order.
 _UNIT = 1 << 32
@@ -22,6 +31,72 @@ _PARTS = 64
 _BUCKETS = 4096
 #: A shard with less than this part of its quota left isn't asked.
 _TIGHT = 0.005
+#: Words; letters of scripts that don't part words stand alone.
+_WORD = re.compile(r"[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]|[^\W\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]+")
+
+
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 150_000:
+            self.clear()
+        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        return got
+
+
+_hashes = _Hashes()
+
+
+def passages(texts: Sequence[str | None]) -> list[np.ndarray]:
+    """For each text the distinct hashes of some of its runs of SHINGLE words, in lower case: the least of every WINDOW
+    that follow one another (winnowing). A text of fewer windows has the least of all; one of fewer words has none."""
+    words, lengths = [], []
+    for t in texts:
+        some = _WORD.findall(t.lower()) if t else []
+        words += some
+        lengths.append(len(some))
+    out = [np.empty(0, np.int64)] * len(texts)
+    n = len(words) - SHINGLE + 1
+    if n < 1:
+        return out
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    doc = np.repeat(np.arange(len(texts)), lengths)
+    g = np.zeros(n, np.uint64)
+    for j in range(SHINGLE):
+        g = g * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n]
+    for _ in range(2):
+        g = (g ^ (g >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    inside = doc[:n] == doc[SHINGLE - 1 :]
+    g, doc = g[inside], doc[:n][inside]
+    if not len(g):
+        return out
+    most = np.uint64(2**64 - 1)
+    padded, owner = np.r_[g, np.full(WINDOW, most)], np.r_[doc, np.full(WINDOW, -1)]
+    low = g.copy()
+    for j in range(1, WINDOW):
+        np.minimum(low, np.where(owner[j : j + len(g)] == doc, padded[j : j + len(g)], most), out=low)
+    first = np.r_[True, doc[1:] != doc[:-1]]
+    taken = first | (owner[WINDOW - 1 : WINDOW - 1 + len(g)] == doc)
+    low, doc = low[taken], doc[taken]
+    new = np.r_[True, (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])]
+    low, doc = low[new].view(np.int64), doc[new]
+    cuts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    for k, part in zip(doc[cuts], np.split(low, cuts[1:])):
+        out[k] = np.unique(part)
+    return out
+
+
+def _passages(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for b in batches:
+        texts, rows, at = b.tolist(), [], 0
+        while at < len(texts):  # about half a million characters at a time, at least one text
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size < 500_000):
+                size += len(texts[upto] or "")
+                upto += 1
+            rows += passages(texts[at:upto])
+            at = upto
+        yield pd.Series(rows, dtype=object)
+
 
 def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
     """(u, v, w): document u shares w lines of ``least_line`` characters or more of which v is the first holder.
@@ -39,11 +114,11 @@ def _lines(text: Column, least_line: int) -> Column:
 
 
 def _marks(text: Column, least_line: int) -> Column:
-    return _lines(text, least_line)
+    return F.array_union(_lines(text, least_line), F.pandas_udf(_passages, T.ArrayType(T.LongType()))(text))
 
 
 def holders(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
-    """(node, id, n, w): a node stands for the w lines of ``least_line`` characters or more that the
+    """(node, id, n, w): a node stands for the w lines of ``least_line`` characters or more, and passages(), that the
     same n documents hold, two at least. All pairs of holders are linked by it, in one row a holder."""
     require(docs, text, doc_id)
     return _holders(docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), _marks(col(text), least_line).alias("marks")))
@@ -88,7 +163,7 @@ def _pick(values: Column, table: dict[int, Column], default: Column) -> Column:
 def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, seed: int = SEED, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
     """(doc_id, shard) for every distinct id: shards of even token sizes that keep linked documents together.
 
-    holders() joins documents by shared lines: nodes, of which all holders are
+    holders() joins documents by shared lines and by passages anywhere in them: nodes, of which all holders are
     linked. Linked documents start in a shard by hash; each round counts the holders of each node in each shard, and
     a seeded half of the documents asks to move to the shard, of those with room, that holds most of the weight
     of its nodes' other holders, if that is more than in its own. A shard admits as much as it has room for below
@@ -101,10 +176,11 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUN
     and empty texts have size 0 and no links. An empty table gives no rows.
     """
     require(docs, text, doc_id)
+    small_batches(docs.sparkSession)
     space = Workspace(docs.sparkSession)
     rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _marks(col(text), least_line).alias("marks"))
     signed = space.put(rows)
-    # a node pulls each holder with its lines, of which each of the n - 1 others has an even part
+    # a node pulls each holder with its lines and passages, of which each of the n - 1 others has an even part
     both = space.put(_holders(signed).select("node", "id", F.expr(f"w * {_UNIT}L div (n - 1)").alias("w")))
     sizes = signed.groupBy("id").agg(F.sum("tokens").alias("tokens"))
     start = sizes.join(both.groupBy("id").agg(F.sum("w").alias("self")), "id", "left")

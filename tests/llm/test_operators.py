@@ -337,6 +337,37 @@ def test_links_by_brute_force(docs):
     assert {(r["u"], r["v"]): r["w"] for r in sharding.links(docs).collect()} == want
 
 
+def test_sharding_links_edited_lines_and_parts_of_lines(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    rows = []
+    for g in range(60):
+        lines = [[word() for _ in range(40)] for _ in range(4)]
+        for k in range(4):  # one word of each line is another one, or the passage begins and ends in mid-line
+            edited = [[*x[:20], word(), *x[21:]] for x in lines]
+            rows.append((10 * g + k, "\n".join(" ".join(x) for x in edited) if k < 3 else word() + " " + " ".join(lines[0][21:]) + " " + word()))
+    linked = len(rows)
+    rows += [(10_000 + k, " ".join(word() for _ in range(150))) for k in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sharding.links(docs).count() == 0
+    held = sharding.holders(docs).cache()
+    assert held.select("id").distinct().count() == linked
+    got = sharding.shard_documents(docs, shards=4).cache()
+    cut, every = sharding.cut_pairs(held, got)
+    assert every > 0 and cut < 0.25 * every
+
+
+def test_passages_by_brute_force():
+    rng = random.Random(6)
+    size = sharding.SHINGLE + sharding.WINDOW - 1
+    for _ in range(50):
+        shared = [f"s{rng.random()}".replace(".", "") for _ in range(size)]
+        texts = [" ".join([*(str(rng.randrange(50)) for _ in range(rng.randrange(30))), *shared, *(str(rng.randrange(50)) for _ in range(rng.randrange(30)))]) for _ in range(2)]
+        a, b, none, short = sharding.passages([*texts, None, "few words"])
+        assert set(a) & set(b) and not len(none) and not len(short)
+        assert [set(x) for x in sharding.passages(texts[:1])] == [set(a)]
+
+
 def test_holders_of_a_full_shards_line_gather_elsewhere(spark):
     rng = random.Random(7)
     line = "a line that more documents hold than one shard has room for"
