@@ -5,41 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, col, require
+from .common import col, require
 
 SALTS = 16
-#: Digests with so many rows are salted, the most frequent ones if there are more than MOST_HOT of them: that bounds
-#: what is broadcast. The rest have no more than a MOST_HOT-th of the rows each.
-HOT_ROWS = 64
-MOST_HOT = 100_000
 
 
-def exact_dedup(docs: DataFrame, *, text: str = "text", order_by: str = "doc_id", salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def exact_dedup(docs: DataFrame, *, text: str = "text", order_by: str = "doc_id", salts: int = SALTS) -> DataFrame:
     """One row for each distinct content of ``text``; the other columns are those of the kept row.
 
-    Combining steps, each grouping by digest *and* full content, so that a digest collision never merges:
+    Three steps of combining, each by digest *and* full content, so that a digest collision never merges:
 
-    1. the map side of the first aggregation deduplicates inside each task, so that a task sends one row a text
+    1. local: the map side of the first aggregation deduplicates inside each task, so that a task sends one row a text
        however often it holds that text;
-    2. these rows meet in digest groups; groups of hot digests are salted, so that the copies of one text spread over
-       up to ``salts`` reducers;
-    3. winners of the salts are combined globally, by their full content; at most ``salts`` rows of a text meet.
+    2. salted: these rows meet in groups of (digest, salt), a task's rows having one salt, so that the copies of any
+       text spread over ``salts`` reducers;
+    3. global: the winners of the salts are combined; at most ``salts`` rows of a text meet.
 
-    Which digests are hot is counted first, over digests alone. Texts of other digests are shuffled once, and only
-    the winners of hot ones a second time.
+    All digests are salted alike, frequent or not. The table is scanned once for these steps, and once for its null
+    texts (a scan that Parquet statistics mostly skip).
 
     Kept is the row with the smallest ``order_by`` (nulls last); ties go to the smaller hash of the whole row (but
-    for maps and variants), and rows that tie there as well are taken for repetitions of one row. Null texts are unknown content and are all kept; empty
-    texts equal one another. Nothing else is changed: no row is added, and an empty table gives an empty table.
+    for maps and variants), and rows that tie there as well are taken for repetitions of one row. Null texts are
+    unknown content and are all kept; empty texts equal one another; long texts are compared whole. Other columns,
+    whatever their names, are carried along. No row is added, and an empty table gives an empty table.
     """
     require(docs, text, order_by)
-    space = Workspace(docs.sparkSession)
-    counts = docs.where(col(text).isNotNull()).groupBy(F.xxhash64(col(text)).alias("hot")).agg(F.count("*").alias("c"))
-    hot = space.put(counts.where(F.col("c") >= hot_rows).orderBy(F.desc("c"), "hot").limit(MOST_HOT).select("hot"))
     rest = [c for c in docs.columns if c != text]
     hashed = [c for c, kind in docs.dtypes if c != text and "map<" not in kind and "variant" not in kind]
     rows = docs.where(col(text).isNotNull()).select(
         F.xxhash64(col(text)).alias("digest"),
+        F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"),
         col(text).alias("body"),
         F.struct(
             col(order_by).isNull().alias("n"),
@@ -49,9 +44,7 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", order_by: str = "doc_id"
         ).alias("best"),
     )
     least = F.min_by("best", F.struct("best.n", "best.o", "best.h")).alias("best")
-    cold = rows.join(F.broadcast(hot), rows.digest == hot.hot, "left_anti").groupBy("digest", "body").agg(least)
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")
-    salted = rows.join(F.broadcast(hot), rows.digest == hot.hot, "left_semi").select("*", salt).groupBy("digest", "salt", "body").agg(least)
+    salted = rows.groupBy("digest", "salt", "body").agg(least)
     winners = salted.groupBy("digest", "body").agg(least)
     kept = [(F.col("body") if c == text else F.col("best.r").getField(c)).alias(c) for c in docs.columns]
-    return cold.select(*kept).unionByName(winners.select(*kept)).unionByName(docs.where(col(text).isNull()))
+    return winners.select(*kept).unionByName(docs.where(col(text).isNull()))

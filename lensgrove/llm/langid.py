@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -10,11 +11,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, packed, require, small_batches, unpacked
+from .common import col, packed, portions, require, small_batches, unpacked
 
 #: Labelled documents a language that the word model is fitted on, at most.
 TRAIN_DOCS = 150
@@ -23,9 +23,10 @@ MIN_SHARE = 0.5
 BLOCK = 64
 #: Words whose scores a task remembers.
 CACHED_WORDS = 150_000
-#: Texts with fewer letters aren't judged by how likely their letters are.
-LEAST_LETTERS = 200
-_WORD = re.compile(r"[^\W\d_]+")
+#: Labels that the model learns, the most frequent ones if there are more.
+MOST_LANGUAGES = 64
+#: Standard errors of a text's mean letter score by which it may lie below what labelled texts have.
+ERRORS = 6.0
 #: (first, last, script, its languages if the labelled rows have none in that script)
 SCRIPTS = [
     (0x3400, 0x9FFF, "Han", ("zh", "ja")),
@@ -49,10 +50,43 @@ SCRIPTS = [
 ]
 
 
+_OTHER = "Other"
+
+
 def script(letter: str) -> str:
     """The script of a letter by code point ranges; 'Other' outside all of them."""
     c = ord(letter)
-    return next((s for a, b, s, _ in SCRIPTS if a <= c <= b), "Other")
+    return next((s for a, b, s, _ in SCRIPTS if a <= c <= b), _OTHER)
+
+
+def _class(*names: str) -> str:
+    """The inside of a character class: letters and marks of scripts, as ranges."""
+    own = sorted({c for a, b, s, _ in SCRIPTS if s in names for c in range(a, b + 1) if unicodedata.category(chr(c))[0] in "LM"})
+    firsts = [c for k, c in enumerate(own) if not k or own[k - 1] != c - 1]
+    lasts = [c for k, c in enumerate(own) if k + 1 == len(own) or own[k + 1] != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(firsts, lasts))
+
+
+_NAMES = sorted(dict.fromkeys(s for _, _, s, _ in SCRIPTS), key=lambda s: s != "Latin")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters of one script, for texts that have letters outside Latin; letters of no known script form runs too.
+_RUNS = re.compile("|".join(f"[{_class(n)}]+" for n in _NAMES) + rf"|(?:(?![{_class(*_NAMES)}])[^\W\d_])+")
+_FOREIGN = re.compile(r"[\u0250-\u02af\u0370-\u1dff\u1f00-\u1fff\u2c00-\ud7ff\uf900-\uffdc\U00010000-\U0003ffff]")
+
+
+def letter_runs(text: str) -> list[str]:
+    """The words of a text in the case it has, cut where the script changes."""
+    return _RUNS.findall(text) if _FOREIGN.search(text) else _LETTERS.findall(text)
+
+
+def _starts(text: str) -> list[int]:
+    return [m.start() for m in (_RUNS if _FOREIGN.search(text) else _LETTERS).finditer(text)]
+
+
+def _lower(text: str) -> list[str]:
+    """letter_runs() in lower case, one for each, whatever lowering does to lengths."""
+    low = text.lower()
+    return letter_runs(low) if len(low) == len(text) else [w.lower() for w in letter_runs(text)]
 
 
 def _grams(word: str) -> list[str]:
@@ -69,6 +103,8 @@ class LanguageModel:
     grams: dict[str, int]
     table: np.ndarray  # a row for each of grams, and a last one for all others
     floor: float = -np.inf
+    #: Standard deviation of a letter's score, by which short texts' means scatter more.
+    spread: float = 0.0
     #: Scripts with a labelled language. The others admit fallback languages, whose scores say nothing of a text.
     learnt: frozenset[str] = frozenset()
     #: Words scored so far: rows of scored, and their scripts.
@@ -118,7 +154,7 @@ def fit(texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
     counts: dict[str, Counter] = defaultdict(Counter)
     where: dict[str, Counter] = defaultdict(Counter)
     for t, label in zip(texts, labels):
-        for w in _WORD.findall(t.lower()):
+        for w in _lower(t):
             counts[label].update(_grams(w))
             where[script(w[0])][label] += 1
     languages = sorted(counts)
@@ -141,9 +177,25 @@ def fit(texts: Sequence[str], labels: Sequence[str]) -> LanguageModel:
             total = sum(counts[x].values()) + 0.5 * (len(vocabulary) + 1)
             table[:, k] = np.log((np.array([counts[x][g] for g in vocabulary] + [0]) + 0.5) / total)
     model = LanguageModel(languages, by_script, {g: k for k, g in enumerate(vocabulary)}, table, learnt=learnt)
-    means = [x[3] for x in label_texts(texts, model) if x[3]]
-    if means:
-        model.floor = min(means) - 3 * float(np.std(means)) - 0.5
+    # how labelled texts score: the level of a language, and how far words scatter about it
+    low, square, letters = np.inf, 0.0, 0
+    for x in sorted(set(labels)):
+        own = [w for t, label in zip(texts, labels) if label == x for w in _lower(t)]
+        if not own:
+            continue
+        rows = model.look_up(own)
+        score = model.scored[rows].max(1)
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        use = np.isfinite(score) & np.isin([script(w[0]) for w in own], list(learnt))
+        score, size = score[use].astype(np.float64), size[use]
+        if not len(size):
+            continue
+        level = score.sum() / size.sum()
+        low = min(low, level)
+        square += ((score - level * size) ** 2).sum()
+        letters += size.sum()
+    if letters:
+        model.floor, model.spread = float(low) - 1.0, float(np.sqrt(square / letters))
     return model
 
 
@@ -214,10 +266,12 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float, block: int
 
 def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: float = SWITCH_PENALTY) -> list[tuple[list[tuple[int, int, str]], str | None, float, float]]:
     """For each text: spans (start, end, language) that cover it, its main language, that one's share of letters, and
-    the mean score of a letter in the scripts that labelled languages have (0.0 below LEAST_LETTERS of those). A text without a word of a known script has no span, language None and 0.0 twice."""
+    how far the mean score of a letter, in the scripts that labelled languages have, lies above what labelled texts let
+    expect of as many letters: model.floor less ERRORS standard errors, so that the fewer letters a text has the less
+    they tell. Texts without such letters get 0.0. A text without a word of a known script has no span, language None and 0.0 twice."""
     ids, lengths, letters = [], [], []
     for t in texts:
-        words = _WORD.findall(t.lower()) if t else []
+        words = _lower(t) if t else []
         ids += words
         lengths.append(len(words))
     letters = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -253,7 +307,8 @@ def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: floa
     total = np.bincount(doc, weight, len(texts))
     judged = np.array([scripts[k] in model.learnt for k in uniq])[place]
     read = np.bincount(doc, letters * judged, len(texts))
-    level = np.where(read >= LEAST_LETTERS, np.bincount(doc, top[place] * judged, len(texts)) / np.maximum(read, 1), 0)
+    mean, some = np.bincount(doc, top[place] * judged, len(texts)), np.maximum(read, 1)
+    level = np.where((read > 0) & np.isfinite(model.floor), mean / some - model.floor + ERRORS * model.spread / np.sqrt(some), 0)
     by = np.zeros((len(texts), len(model.languages)))
     np.add.at(by, (doc[state >= 0], state[state >= 0]), weight[state >= 0])
     ends = np.cumsum(lengths)
@@ -268,11 +323,9 @@ def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: floa
         best = max(ranked, key=lambda x: by[k, x])
         if len(cuts[k]):
             inside = [0, *(int(c - begin) for c in cuts[k])]
-            # positions in the lower-cased text are those of the text but for a few letters that change length
             low = t.lower()
-            source = t if len(low) == len(t) else low
-            starts = [m.start() for m in _WORD.finditer(source.lower() if source is t else source)]
-            at = [0, *(starts[i] for i in inside[1:]), len(source)]
+            starts = _starts(low if len(low) == len(t) else t)
+            at = [0, *(starts[i] for i in inside[1:]), len(t)]
             spans = [(at[i], at[i + 1], names[state[begin + inside[i]]]) for i in range(len(inside))]
         else:
             spans = [(0, len(t), names[state[begin]])]
@@ -281,12 +334,28 @@ def label_texts(texts: Sequence[str | None], model: LanguageModel, penalty: floa
 
 
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", train_docs: int = TRAIN_DOCS) -> LanguageModel:
-    """fit() on ``train_docs`` labelled documents a language at most, chosen by a hash of their ids."""
+    """fit() on ``train_docs`` labelled documents a language at most, chosen by a hash of ids and texts.
+
+    Labels are counted first; a language's share of hashes is then cut so that little more than ``train_docs`` documents
+    are expected below it, and only these are sent anywhere, each once. Rows without label or text aren't labelled;
+    texts of any length are. No labelled row gives a model that knows scripts only.
+    """
     require(docs, text, lang, doc_id)
-    rows = docs.where(col(lang).isNotNull() & (col(lang) != "") & (F.length(col(text)) >= 40)).select(col(lang).alias("lang"), col(text).alias("text"), F.xxhash64(F.lit(5), col(doc_id)).alias("h"))
-    first = rows.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(F.col("r") <= train_docs)
-    got = sorted((r["lang"], r["h"], r["text"]) for r in first.collect())
-    return fit([g[2] for g in got], [g[0] for g in got])
+    rows = docs.where(col(lang).isNotNull() & (col(lang) != "") & col(text).isNotNull()).select(col(lang).alias("lang"), col(text).alias("text"), col(doc_id).alias("id"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    if not sizes:
+        return fit([], [])
+    few = train_docs + 6 * train_docs**0.5 + 10
+    cut = None
+    for r in sizes:
+        below = int(min(1.0, few / r["n"]) * 2.0**63) - 1
+        cut = (F if cut is None else cut).when(F.col("lang") == r["lang"], F.lit(below))
+    hashed = rows.withColumn("h", F.xxhash64(F.lit(5), "id", "text").bitwiseAND(F.lit((1 << 63) - 1)))
+    got: dict[str, list[tuple[int, str]]] = {}
+    for r in hashed.where(F.col("h") <= cut).select("lang", "h", "text").collect():  # MOST_LANGUAGES x few texts, about
+        got.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    some = [(x, t) for x in sorted(got) for _, t in sorted(got[x])[:train_docs]]
+    return fit([t for _, t in some], [x for x, _ in some])
 
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
@@ -297,14 +366,7 @@ def _labeller(model: LanguageModel, penalty: float):
     @F.pandas_udf(_FOUND)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, rows, at = b.tolist(), [], 0
-            while at < len(texts):  # about half a million characters at a time, at least one text
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size < 500_000):
-                    size += len(texts[upto] or "")
-                    upto += 1
-                rows += label_texts(texts[at:upto], model, penalty)
-                at = upto
+            rows = [r for texts in portions(b.tolist()) for r in label_texts(texts, model, penalty)]
             yield pd.DataFrame({"spans": [[{"start": a, "end": e, "lang": x} for a, e, x in r[0]] for r in rows], "lang": [r[1] for r in rows], "share": [r[2] for r in rows], "level": [r[3] for r in rows]})
 
     return run
@@ -317,12 +379,13 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
     over the word scores, with ``penalty`` for each switch, labels spans (start, end, lang), in characters, that
     cover the text. ``lang`` is the language with most letters, ``share`` its part of them. ``keep`` is false for a
     text without a word of a known script (null and empty texts too: lang null, no spans), for one unlike all
-    languages (letters less likely than in any labelled text of some length, by a margin; letters in scripts that no
-    labelled text is in don't count), and, if ``languages`` is
+    languages (letters less likely than in the labelled texts of any language, by a margin that is the wider the fewer
+    letters a text has; letters in scripts that no labelled text is in don't count), and, if ``languages`` is
     given, for one of which spans in those make up less than ``min_share``. Mixing languages is no reason to go.
 
     The model is fitted on ``train_docs`` labelled documents a language unless one is given; ties between languages
-    go to the first by name. Null ids and repeated rows stay as they are.
+    go to the first by name. Null ids and repeated rows stay as they are, other columns aren't read, an empty table gives
+    no rows. Words are cut where the script changes within them.
     """
     require(docs, text, doc_id)
     small_batches(docs.sparkSession)
@@ -333,8 +396,7 @@ def identify(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id:
 
 def _keep(model: LanguageModel, languages: Sequence[str] | None, min_share: float):
     keep = F.col("f.lang").isNotNull()
-    if np.isfinite(model.floor):
-        keep = keep & (F.col("f.level") >= float(model.floor))
+    keep = keep & (F.col("f.level") >= 0.0)
     if languages is not None:
         size = lambda a, x: a + x["end"] - x["start"]
         wanted = F.aggregate(F.filter("f.spans", lambda x: x["lang"].isin(list(languages))), F.lit(0), size)
@@ -343,7 +405,11 @@ def _keep(model: LanguageModel, languages: Sequence[str] | None, min_share: floa
 
 
 def keep_identified(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", languages: Sequence[str] | None = None, penalty: float = SWITCH_PENALTY, min_share: float = MIN_SHARE, train_docs: int = TRAIN_DOCS, model: LanguageModel | None = None) -> DataFrame:
-    """``docs`` without the rows that identify() rejects; columns are unchanged."""
+    """``docs`` without the rows that identify() rejects; columns are unchanged, whatever their names.
+
+    Null and empty texts go, as do others without a letter; long texts are read whole; repeated rows and null ids stay or
+    go by their texts. An empty table stays empty.
+    """
     require(docs, text, doc_id)
     small_batches(docs.sparkSession)
     model = model or train(docs, text=text, lang=lang, doc_id=doc_id, train_docs=train_docs)

@@ -2,98 +2,109 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, col, require, small_batches
+from .common import Workspace, col, hashed_words, mixed, portions, require, small_batches
 from .components import components
 
 BITS = 128
 BLOCKS = 8
 WIDTH = BITS // BLOCKS
 BUDGET = 23
-LENGTH_RATIO = 0.72
-LEAST_FEATURES = 8
+#: Fingerprints of one trie that a task holds, about; more of them are parted by longer prefixes, and by chunks.
+SUBTRIE_ROWS = 1 << 20
 #: Row pairs compared, and node pairs expanded, at a time: they bound a task's memory, not what it finds.
 CELLS = 250_000
 NODES = 60_000
-
-_WORD = re.compile(r"\w+")
-
-
-def features(text: str) -> set[str]:
-    """What a document is compared by: its distinct words of five letters or more, in lower case.
-
-    A text with fewer than eight of those is compared by all its distinct words and word pairs instead. No words
-    give an empty set.
+LEAF = 48
+
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: A byte's bits as eight bytes, in one word: sums of these words count bits.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+#: Features whose bits are counted together, as binary digits.
+_GROUP = 15
+
+
+def _add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and carries of three bit vectors."""
+    u = a ^ b
+    return u ^ c, (a & b) | (u & c)
+
+
+def _bit_counts(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How often each of BITS bits is set in each run of rows (n, 2) uint64; sizes: rows of each run, none 0."""
+    groups = -(-sizes // _GROUP)
+    start, begin = np.cumsum(groups) - groups, np.cumsum(sizes) - sizes
+    total = int(groups.sum())
+    place = np.arange(len(rows)) - np.repeat(begin, sizes)
+    flat = np.zeros((_GROUP * total, 2), np.uint64)
+    flat[place % _GROUP * total + np.repeat(start, sizes) + place // _GROUP] = rows
+    level = list(flat.reshape(_GROUP, total, 2))
+    counts = None
+    for digit in range(4):  # full adders, until one vector of each binary digit is left
+        carries = []
+        while len(level) > 1:
+            s, c = _add(*level[:3])
+            level = [*level[3:], s]
+            carries.append(c)
+        some = _SPREAD[level[0].astype(">u8").view(np.uint8).reshape(total, BITS // 8)] << np.uint64(digit)
+        counts = some if counts is None else counts + some
+        level = carries
+    # bytes hold the counts of 17 groups at most; then the sums of a run's parts
+    parts = -(-groups // 17)
+    first = np.cumsum(parts) - parts
+    at = np.repeat(start, parts) + 17 * (np.arange(parts.sum()) - np.repeat(first, parts))
+    return np.add.reduceat(np.add.reduceat(counts, at, axis=0).view(np.uint8).reshape(-1, BITS), first, axis=0, dtype=np.int64)
+
+
+def simhash(texts: Sequence[str | None]) -> list[bytes | None]:
+    """128-bit fingerprints; a text that is null or has no word has none.
+
+    A document is compared by all its words, in lower case, and by all pairs of words that follow one another. A word
+    weighs 1 however often it occurs; a pair weighs the number of binary digits of its count, so order and
+    repetition both tell. A bit is set if more than half of the weight has it set.
     """
-    words = _WORD.findall(text.lower())
-    long = {w for w in words if len(w) >= 5}
-    if len(long) >= LEAST_FEATURES:
-        return long
-    return {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}
-
-
-_digests: dict[str, bytes] = {}
-
-
-def _digest(feature: str) -> bytes:
-    got = _digests.get(feature)
-    if got is None:
-        if len(_digests) >= 150_000:
-            _digests.clear()
-        got = _digests[feature] = xxhash.xxh3_128_digest(feature)
-    return got
-
-
-def simhash(texts: list[str | None]) -> tuple[list[bytes | None], list[int]]:
-    """128-bit fingerprints and feature counts. A text that is null or has no word has no fingerprint."""
-    sets = [features(t) if t else set() for t in texts]
-    sizes = [len(s) for s in sets]
     out: list[bytes | None] = [None] * len(texts)
-    at = 0
-    while at < len(sets):
-        upto, total = at, 0
-        while upto < len(sets) and (total == 0 or total + sizes[upto] <= 50_000):
-            total += sizes[upto]
-            upto += 1
-        if total:
-            raw = np.frombuffer(b"".join(_digest(f) for s in sets[at:upto] for f in s), np.uint8).reshape(-1, BITS // 8)
-            full = [k for k in range(at, upto) if sizes[k]]
-            starts = np.cumsum([0] + [sizes[k] for k in full[:-1]])
-            bits = np.unpackbits(raw, axis=1)
-            ones = np.array([bits[a : a + sizes[k]].sum(0, dtype=np.int32) for a, k in zip(starts, full)])
-            prints = np.packbits(2 * ones > np.array([sizes[k] for k in full])[:, None], axis=1)
-            for k, p in zip(full, prints):
-                out[k] = p.tobytes()
-        at = upto
-    return out, sizes
-
-
-_SIGNED = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("n", T.IntegerType())])
-
-
-def _simhash_batches(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for t in texts:
-        fp, n = [], []
-        for a in range(0, len(t), 256):
-            some = simhash(t.iloc[a : a + 256].tolist())
-            fp += some[0]
-            n += some[1]
+    h, lengths = hashed_words(texts)
+    if not len(h):
+        return out
+    doc = np.repeat(np.arange(len(texts), dtype=np.uint64), lengths)
+    same = doc[1:] == doc[:-1]
+    double = mixed(h[:-1] * _MIX[0] + h[1:])[same]
+    # a feature is 47 bits of hash and whether it is a pair; sorting puts a document's together and counts them
+    doc <<= np.uint64(48)
+    key = np.concatenate([doc | h >> np.uint64(16) & ~np.uint64(1), doc[1:][same] | double >> np.uint64(16) | np.uint64(1)])
+    key.sort()
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    count = np.diff(np.r_[first, len(key)])
+    key = key[first]
+    weight = np.where(key & np.uint64(1), np.frexp(count)[1], 1)
+    if (weight > 1).any():
+        key = np.repeat(key, weight)
+    total = np.bincount((key >> np.uint64(48)).astype(np.int64), minlength=len(texts))
+    have = np.flatnonzero(total)
+    feature = key & np.uint64((1 << 48) - 1)
+    ones = _bit_counts(np.stack([mixed(feature * _MIX[0]), mixed(feature * _MIX[1] + _MIX[0])], 1), total[have])
+    for k, p in zip(have, np.packbits(2 * ones > total[have][:, None], axis=1)):
+        out[k] = p.tobytes()
+    return out
+
+
+_SIGNED = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("hi", T.LongType()), T.StructField("lo", T.LongType())])
+
+
+def _simhash_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        fp = [x for texts in portions(b.tolist(), 250_000) for x in simhash(texts)]
         halves = np.frombuffer(b"".join(x or bytes(BITS // 8) for x in fp), ">i8").reshape(-1, 2).astype(np.int64)
-        yield pd.DataFrame({"fp": pd.Series(fp, dtype=object), "hi": halves[:, 0], "lo": halves[:, 1], "n": np.array(n, np.int32)})
-
-
-def band(n: Column) -> Column:
-    """Documents whose feature counts keep LENGTH_RATIO fall in one band or in neighbouring ones."""
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / LENGTH_RATIO))).cast("int")
+        yield pd.DataFrame({"fp": pd.Series(fp, dtype=object), "hi": halves[:, 0], "lo": halves[:, 1]})
 
 
 def allowance(depth: int, budget: int) -> int:
@@ -106,14 +117,13 @@ def allowance(depth: int, budget: int) -> int:
     return budget * min(BLOCKS, -(-depth // WIDTH)) // BLOCKS
 
 
-def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (row, least row of its component) that connect what the pairs (i, j) connect."""
-    label = np.arange(n)
+def forest(i: np.ndarray, j: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """label, each row's least row of its component, after the pairs (i, j) have been joined as well."""
+    label = label.copy()
     while True:
         a, b = label[i], label[j]
         if (a == b).all():
-            rows = np.flatnonzero(label != np.arange(n))
-            return rows, label[rows]
+            return label
         least = np.minimum(a, b)
         np.minimum.at(label, a, least)
         np.minimum.at(label, b, least)
@@ -121,56 +131,101 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
             label = up
 
 
-def trie_pairs(keys: np.ndarray, roots: np.ndarray, visits: np.ndarray, budget: int, leaf: int = 48, keep=None, linked: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows, at most ``budget`` bits apart, of tries that are traversed together.
-
-    keys: (n, 2) uint64, most significant word first, sorted within runs of equal ``roots``; each run is one
-    binary trie, and a trie node is a range of rows with a common prefix. The traversal starts with the pair
-    (root, root) of each trie. keep(i, j) may reject found pairs. With ``linked``, pairs are folded into a spanning
-    forest as they come, so that a group of thousands takes memory for its members and not for its pairs. A step descends both nodes by one bit: equal bits keep the errors, unequal bits
-    add one, and a pair beyond allowance() is dropped. Pairs of small nodes are compared outright. Two visiting
-    rows are not paired.
+def _near(keys: np.ndarray, i: np.ndarray, j: np.ndarray, budget: int) -> np.ndarray:
+    return np.bitwise_count(keys[i, 0] ^ keys[j, 0]) + np.bitwise_count(keys[i, 1] ^ keys[j, 1]) <= budget
+
+
+class _Pairs:
+    """Found pairs; if ``linked``, folded into a spanning forest as they come, by which settled nodes are known."""
+
+    def __init__(self, n: int, linked: bool):
+        self.n, self.linked, self.i, self.j, self.waiting, self.total = n, linked, [], [], 0, 0
+        self.label = np.arange(n) if linked else None
+        self.changes: np.ndarray | None = None
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        self.i.append(i)
+        self.j.append(j)
+        self.waiting += len(i)
+        self.total += len(i)
+        if self.linked and self.waiting > max(self.n // 4, 1000):
+            self.fold()
+
+    def fold(self) -> None:
+        if self.i:
+            self.label = forest(np.concatenate(self.i), np.concatenate(self.j), self.label)
+        self.i, self.j, self.waiting = [], [], 0
+        if 4 * self.total > self.n:  # where links are few, looking for settled nodes costs more than it saves
+            self.changes = np.r_[0, np.cumsum(self.label[1:] != self.label[:-1])]
+
+    def open(self, a0, a1, b0, b1) -> np.ndarray | None:
+        """Which node pairs aren't within one component already; None for all."""
+        c = self.changes
+        if c is None:
+            return None
+        return (self.label[a0] != self.label[b0]) | (c[a1 - 1] != c[a0]) | (c[b1 - 1] != c[b0])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.linked:
+            self.fold()
+            rows = np.flatnonzero(self.label != np.arange(self.n))
+            return rows, self.label[rows]
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *self.i]), np.concatenate([none, *self.j])
+
+
+def trie_pairs(keys: np.ndarray, budget: int, middle: int | None = None, depth: int = 0, errors: int = 0, leaf: int = LEAF, linked: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows at most ``budget`` bits apart, of tries that are traversed together.
+
+    keys: (n, 2) uint64, most significant word first. A trie node is a range of sorted rows with a common prefix, and
+    the traversal starts with the pair (root, root) of all rows; with ``middle``, with the roots of two tries, the
+    rows before it and those from it on, each sorted, whose common prefixes of ``depth`` bits differ in ``errors``.
+    A step descends both nodes of a pair by one bit: equal bits keep the errors, unequal bits add one, and a pair
+    beyond allowance() is dropped. Pairs of small nodes are compared outright.
+
+    With ``linked``, a spanning forest of what the pairs connect, as (row, least row of its component): pairs are
+    folded into it as they come, neighbours in sorted order first, and node pairs within one component are not
+    descended further. A group of thousands then takes time and memory for its members and not for its pairs.
     """
     n = len(keys)
-    if n < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    edge = np.flatnonzero(np.r_[True, roots[1:] != roots[:-1]])
-    lo = edge.astype(np.int64)
-    hi = np.r_[edge[1:], n].astype(np.int64)
-    big = hi - lo > 1
-    stack = [(0, lo[big], hi[big], lo[big], hi[big], np.zeros(big.sum(), np.int16))]
-    left, right = [], []
-    ones: dict[int, np.ndarray] = {}
+    found = _Pairs(n, linked)
+    if n < 2 or middle is not None and not 0 < middle < n:
+        return found.result()
+    at = np.array([0, n if middle is None else middle, 0 if middle is None else middle, n], np.int64)
+    stack = [(depth, *(at[k : k + 1] for k in range(4)), np.array([errors], np.int16))]
+    bits: dict[int, np.ndarray] = {}
+    if linked and middle is None:
+        i = np.arange(n - 1)
+        i = i[_near(keys, i, i + 1, budget)]
+        found.add(i, i + 1)
 
     def split(a: np.ndarray, b: np.ndarray, d: int) -> np.ndarray:
-        if d not in ones:
-            ones[d] = np.r_[0, np.cumsum((keys[:, d // 64] >> np.uint64(63 - d % 64)) & np.uint64(1), dtype=np.int32)].astype(np.int32)
-        return b - (ones[d][b] - ones[d][a])
+        """First row of each node [a, b) whose bit d is set."""
+        word, shift = d // 64, np.uint64(63 - d % 64)
+        if d < 28:
+            if d not in bits:
+                bits[d] = np.r_[0, np.cumsum((keys[:, word] >> shift) & np.uint64(1), dtype=np.int32)].astype(np.int32)
+            return b - (bits[d][b] - bits[d][a])
+        low, high = a.copy(), b.copy()  # deep nodes are small: halving takes few steps
+        while (going := low < high).any():
+            at = (low + high) >> 1
+            one = (keys[np.minimum(at, n - 1), word] >> shift & np.uint64(1)).astype(bool)
+            high = np.where(going & one, at, high)
+            low = np.where(going & ~one, at + 1, low)
+        return low
 
     def compare(a0, a1, b0, b1):
-        na, nb = a1 - a0, b1 - b0
-        size = na * nb
-        cuts = np.searchsorted(np.cumsum(size), np.arange(CELLS, size.sum() + CELLS, CELLS)) + 1
-        begin = 0
-        for end in np.unique(np.minimum(cuts, len(size))):
-            s = size[begin:end]
-            if len(s):
-                which = np.repeat(np.arange(begin, end), s)
-                k = np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s)
-                i, j = a0[which] + k // nb[which], b0[which] + k % nb[which]
-                ok = i < j
-                i, j = i[ok], j[ok]
-                first = np.bitwise_count(keys[i, 0] ^ keys[j, 0])
-                near = first <= budget
-                i, j, first = i[near], j[near], first[near]
-                ok = (first + np.bitwise_count(keys[i, 1] ^ keys[j, 1]) <= budget) & ~(visits[i] & visits[j])
-                if keep is not None:
-                    ok &= keep(i, j)
-                left.append(i[ok])
-                right.append(j[ok])
-                if linked and sum(map(len, left)) > CELLS:
-                    left[:], right[:] = ([x] for x in forest(np.concatenate(left), np.concatenate(right), n))
-            begin = end
+        nb, size = b1 - b0, (a1 - a0) * (b1 - b0)
+        ends = np.cumsum(size)
+        for begin in range(0, int(ends[-1]), CELLS):
+            cell = np.arange(begin, min(begin + CELLS, int(ends[-1])))
+            which = np.searchsorted(ends, cell, side="right")
+            k = cell - (ends[which] - size[which])
+            i, j = a0[which] + k // nb[which], b0[which] + k % nb[which]
+            ok = (i < j) & (np.bitwise_count(keys[i, 0] ^ keys[j, 0]) <= budget)
+            i, j = i[ok], j[ok]
+            ok = _near(keys, i, j, budget)
+            found.add(i[ok], j[ok])
 
     while stack:
         d, a0, a1, b0, b1, err = stack.pop()
@@ -178,7 +233,10 @@ def trie_pairs(keys: np.ndarray, roots: np.ndarray, visits: np.ndarray, budget:
             half = len(a0) // 2
             stack += [(d, *(x[:half] for x in (a0, a1, b0, b1, err))), (d, *(x[half:] for x in (a0, a1, b0, b1, err)))]
             continue
-        small = (a1 - a0) * (b1 - b0) <= leaf if d < 40 else np.ones(len(a0), bool)
+        ok = found.open(a0, a1, b0, b1)
+        if ok is not None and not ok.all():
+            a0, a1, b0, b1, err = (x[ok] for x in (a0, a1, b0, b1, err))
+        small = ((a1 - a0) * (b1 - b0) <= leaf) | (d >= BITS)
         if small.any():
             compare(a0[small], a1[small], b0[small], b1[small])
             a0, a1, b0, b1, err = (x[~small] for x in (a0, a1, b0, b1, err))
@@ -194,102 +252,127 @@ def trie_pairs(keys: np.ndarray, roots: np.ndarray, visits: np.ndarray, budget:
                 ok &= only
             new.append(tuple(x[ok] for x in (x0, x1, y0, y1, e)))
         stack.append((d + 1, *(np.concatenate(x) for x in zip(*new))))
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    i, j = np.concatenate(left), np.concatenate(right)
-    return forest(i, j, n) if linked else (i, j)
+    return found.result()
 
 
-def rotated(fp: np.ndarray, turns: np.ndarray) -> np.ndarray:
-    """Fingerprints (n, 16) uint8, each turned left by its number of blocks, as (n, 2) big-endian words."""
-    step = WIDTH // 8
-    at = (np.arange(BITS // 8)[None, :] + turns[:, None] * step) % (BITS // 8)
-    return np.ascontiguousarray(np.take_along_axis(fp, at, axis=1)).view(">u8").astype(np.uint64)
+def rotated(keys: np.ndarray, turn: int) -> np.ndarray:
+    """Fingerprints (n, 2) uint64, turned left by ``turn`` blocks."""
+    turn %= BLOCKS
+    a, b = (keys[:, 0], keys[:, 1]) if turn < BLOCKS // 2 else (keys[:, 1], keys[:, 0])
+    s = np.uint64(turn % (BLOCKS // 2) * WIDTH)
+    if not s:
+        return np.stack([a, b], 1)
+    r = np.uint64(64) - s
+    return np.stack([a << s | b >> r, b << s | a >> r], 1)
+
+
+def _turned(turn: int) -> tuple[Column, Column]:
+    """rotated() of the columns (hi, lo)."""
+    a, b = (F.col("hi"), F.col("lo")) if turn < BLOCKS // 2 else (F.col("lo"), F.col("hi"))
+    s = turn % (BLOCKS // 2) * WIDTH
+    if not s:
+        return a, b
+    return tuple(F.shiftleft(x, s).bitwiseOR(F.shiftrightunsigned(y, 64 - s)) for x, y in ((a, b), (b, a)))
 
 
 _PAIR = T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.BinaryType())])
 
 
-def _join_tries(budget: int, ratio: float, linked: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = [b for b in batches if len(b)]
-        if not got:
-            return
-        rows = pd.concat(got, ignore_index=True)
-        del got
-        fp = np.stack([rows.pop("hi").to_numpy(np.int64), rows.pop("lo").to_numpy(np.int64)], 1).astype(">i8").view(np.uint8)
-        turn, level = rows["turn"].to_numpy(np.int64), rows["band"].to_numpy(np.int64)
-        keys = rotated(fp, turn)
-        root = level * BLOCKS + turn
-        order = np.lexsort((keys[:, 1], keys[:, 0], root))
-        low, high = rows["low"].to_numpy(np.int64)[order], rows["high"].to_numpy(np.int64)[order]
-
-        def keep(i, j):  # some member of one fingerprint keeps the ratio to some member of the other
-            return (low[i] <= high[j] / ratio) & (low[j] <= high[i] / ratio)
-
-        i, j = trie_pairs(keys[order], root[order], rows["visit"].to_numpy(bool)[order], budget, keep=keep, linked=linked)
-        i, j = order[i], order[j]
-        for a in range(0, len(i), 20_000):
-            yield pd.DataFrame({k: [fp[x].tobytes() for x in at[a : a + 20_000]] for k, at in (("u", i), ("v", j))})
+def _join_tries(budget: int, prefix: int, linked: bool):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        turn, errors, _ = key
+        right = rows["right"].to_numpy(bool)
+        keys = rows[["x", "y"]].to_numpy(np.int64).view(np.uint64)
+        order = np.lexsort((keys[:, 1], keys[:, 0], right))
+        keys, middle = keys[order], int((~right).sum())
+        whole = key[2].startswith("=")  # a trie with itself
+        i, j = trie_pairs(keys, budget, None if whole else middle, prefix, int(errors), linked=linked)
+        names = rotated(keys, -int(turn)).astype(">u8").view("V16").ravel()
+        return pd.DataFrame({"u": [x.tobytes() for x in names[i]], "v": [x.tobytes() for x in names[j]]}, dtype=object)
 
     return run
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, hi, lo, n) of every document that has a word; others have no fingerprint and resemble nothing.
+    """(doc_id, fp, hi, lo) of every document that has a word; others have no fingerprint and resemble nothing.
 
-    fp is hi and lo, its halves, as bytes; n counts features.
+    fp is hi and lo, its halves, as bytes. Repeated rows and null ids have one like any others.
     """
     require(docs, text, doc_id)
     small_batches(docs.sparkSession)
     signed = docs.select(col(doc_id).alias("doc_id"), F.pandas_udf(_simhash_batches, _SIGNED)(col(text)).alias("s"))
-    return signed.select("doc_id", "s.fp", "s.hi", "s.lo", "s.n").where("fp is not null")
+    return signed.select("doc_id", "s.fp", "s.hi", "s.lo").where("fp is not null")
 
 
-def fingerprint_pairs(prints: DataFrame, *, budget: int = BUDGET, ratio: float = LENGTH_RATIO, linked: bool = False) -> DataFrame:
+def fingerprint_pairs(distinct: DataFrame, *, budget: int = BUDGET, linked: bool = False, rows: int = SUBTRIE_ROWS) -> DataFrame:
     """All pairs (u, v) of distinct fingerprints at most ``budget`` bits apart; with ``linked``, a spanning forest of
     what the pairs connect, which grows with the fingerprints however large their groups are.
 
-    prints: one row (hi, lo, n) for each document. Fingerprints are first made distinct, so that thousands of copies
-    count once. Each distinct fingerprint goes to the tries of its length band, and as a visitor to those of the
-    band above, in all BLOCKS rotations: 16 narrow rows, whatever the number of partners. Nothing is capped.
+    distinct: one row (hi, lo) for each distinct fingerprint, so that thousands of copies count once. Each of BLOCKS
+    rotations is a trie. Its nodes at the depth at which they hold ``rows`` rows on average are what tasks work on:
+    pairs of these nodes within allowance() are traversed together from there, so a fingerprint goes to its own node
+    and to those that differ in as few bits (1 + k + k(k-1)/2 of them at depth k, 1 as long as there are fewer
+    than ``rows`` fingerprints). A node with more rows than four times that is cut into chunks by hash, each paired
+    with each. No task holds more, whatever fingerprints have in common; nothing is left out. ``distinct`` is read
+    up to three times.
     """
-    distinct = prints.groupBy("hi", "lo", band(F.col("n")).alias("band")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    routed = distinct.select(
-        "hi",
-        "lo",
-        "low",
-        "high",
-        F.explode(F.array(*[F.struct((F.col("band") + v).alias("band"), F.lit(bool(v)).alias("visit"), F.lit(r).alias("turn")) for v in (0, 1) for r in range(BLOCKS)])).alias("to"),
-    ).select("hi", "lo", "low", "high", "to.*")
-    parts = routed.repartition("band", "turn")
-    found = parts.mapInPandas(_join_tries(budget, ratio, linked), _PAIR)
+    count = distinct.count()
+    depth = min(WIDTH, max(0, (-(-count // rows) - 1).bit_length()))
+    each = F.array(*[F.struct(F.lit(r).alias("turn"), *[c.alias(n) for n, c in zip("xy", _turned(r))]) for r in range(BLOCKS)])
+    p = F.shiftrightunsigned("x", 64 - depth).cast("int") if depth else F.lit(0)
+    turned = distinct.select(F.explode(each).alias("to")).select("to.*").withColumn("p", p)
+    most = allowance(depth, budget)
+    masks = [sum(1 << b for b in some) for e in range(min(most, depth) + 1) for some in combinations(range(depth), e)]
+    routed = turned.withColumn("q", F.explode(F.array([F.col("p").bitwiseXOR(F.lit(m)) for m in masks])))
+    c = d = F.lit(0)
+    if depth:
+        hot = turned.groupBy("turn", "p").agg(F.count("*").alias("size")).where(F.col("size") > 4 * rows)
+        hot = hot.select("turn", "p", F.ceil(F.col("size") / (2 * rows)).cast("int").alias("s")).collect()  # of BLOCKS * 2**16 nodes at most
+        if hot:
+            table = distinct.sparkSession.createDataFrame(hot, "turn int, p int, s int")
+            routed = routed.join(F.broadcast(table), ["turn", "p"], "left").join(F.broadcast(table.select("turn", F.col("p").alias("q"), F.col("s").alias("t"))), ["turn", "q"], "left")
+            routed = routed.select("turn", "x", "y", "p", "q", F.pmod(F.xxhash64("x", "y"), F.coalesce("s", F.lit(1))).cast("int").alias("c"), F.explode(F.sequence(F.lit(0), F.coalesce("t", F.lit(1)) - 1)).alias("d"))
+            c, d = F.col("c"), F.col("d")
+    own, other = F.struct(F.col("p").alias("a"), c.alias("b")), F.struct(F.col("q").alias("a"), d.alias("b"))
+    name = lambda x: F.concat_ws(".", x["a"], x["b"])
+    cell = F.when(own == other, F.concat(F.lit("="), name(own))).otherwise(F.concat_ws("-", name(F.least(own, other)), name(F.greatest(own, other))))
+    cells = routed.select("turn", F.bit_count(F.col("p").bitwiseXOR(F.col("q"))).alias("errors"), cell.alias("cell"), "x", "y", (own > other).alias("right"))
+    found = cells.groupBy("turn", "errors", "cell").applyInPandas(_join_tries(budget, depth, linked), _PAIR)
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", budget: int = BUDGET, ratio: float = LENGTH_RATIO) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """(doc_id, keep_id) of every document that another one of its near-duplicate group stands for.
 
-    Two documents are linked if their 128-bit SimHashes differ in at most ``budget`` bits and their feature counts
-    keep ``ratio``; groups are the connected components of the links, and the smallest doc_id of a group stays.
-    Exact copies have equal fingerprints and so are one group. The search is exact: the tries find every linked
-    pair. Documents with a null id, a null text, or no word are in no group; repeated rows of one doc_id count as
-    one document. An empty table gives no rows.
+    Two documents are linked if their 128-bit SimHashes differ in at most ``budget`` bits; groups are the connected
+    components of the links, and the smallest doc_id of a group stays. Exact copies have equal fingerprints and so
+    are one group. The search is exact: the tries miss no link between groups. Documents with a null id, a null or
+    empty text, or no word are in no group; repeated rows of one doc_id count as one document; extra columns aren't
+    read. An empty table gives no rows.
     """
     space = Workspace(docs.sparkSession)
+    with space.scope():
+        return space.put(_near_duplicates(docs, text, doc_id, budget, Workspace(docs.sparkSession)))
+
+
+def _near_duplicates(docs: DataFrame, text: str, doc_id: str, budget: int, space: Workspace) -> DataFrame:
     prints = space.put(fingerprints(docs, text=text, doc_id=doc_id).where("doc_id is not null"))
-    edges = fingerprint_pairs(prints, budget=budget, ratio=ratio, linked=True)
+    # copies are counted by fingerprint first: later steps see a row a fingerprint, however many documents have it
+    owners = space.put(prints.groupBy("fp", "hi", "lo").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    edges = fingerprint_pairs(owners.select("hi", "lo"), budget=budget, linked=True)
     roots = components(edges, space)
-    own = prints.join(roots, prints.fp == roots.node, "left").select("doc_id", F.coalesce("root", "fp").alias("root"))
-    least = own.groupBy("root").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("size")).where("size > 1")
-    return own.join(least, "root").where("doc_id <> keep_id").groupBy("doc_id").agg(F.min("keep_id").alias("keep_id"))
+    own = owners.join(roots, owners.fp == roots.node, "left").select("fp", "first", "last", F.coalesce("root", "fp").alias("root"))
+    least = own.groupBy("root").agg(F.min("first").alias("keep_id"), F.max("last").alias("most")).where("keep_id < most").select("root", "keep_id")
+    gone = own.join(least, "root").select(F.col("fp").alias("print"), "keep_id")
+    member = prints.join(gone, prints.fp == gone.print).where("doc_id <> keep_id")
+    return member.groupBy("doc_id").agg(F.min("keep_id").alias("keep_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", budget: int = BUDGET, ratio: float = LENGTH_RATIO) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", budget: int = BUDGET) -> DataFrame:
     """``docs`` without the documents that near_duplicates() would have another one stand for.
 
-    Columns are unchanged. Rows that near_duplicates() doesn't group (null id or text, no word) all stay, as do
-    repeated rows of a kept doc_id.
+    Columns are unchanged, whatever their names. Rows that near_duplicates() doesn't group (null id or text, no word)
+    all stay, as do repeated rows of a kept doc_id; an empty table stays empty.
     """
-    gone = near_duplicates(docs, text=text, doc_id=doc_id, budget=budget, ratio=ratio).select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, docs[doc_id] == gone["__gone_id"], "left_anti")
+    gone = near_duplicates(docs, text=text, doc_id=doc_id, budget=budget).select(F.col("doc_id").alias("__gone_id"))
+    return docs.join(gone, col(doc_id) == F.col("__gone_id"), "left_anti")

@@ -34,6 +34,7 @@ LIST = [
     ("tionsh.example.com/en", "2024-03-01", "block"),
     ("tionsh.example.com/en", "2024-09-01", "allow"),
     ("m.adult-x.example.com", "2024-01-01", "allow"),
+    ("Shop.example.com/A", "2023-01-01", "block"),
 ]
 
 
@@ -50,23 +51,32 @@ def path(url: Column) -> Column:
     return F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def keys(url: Column) -> Column:
-    """All list entries that would match a URL: each domain it lies in, alone and with each leading part of its path."""
-    labels = F.split(host(url), r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    parts = F.filter(F.split(path(url), "/"), lambda p: p != "")
-    paths = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/"))))
+def keys(url: Column, labels: int, parts: int) -> Column:
+    """All list entries of at most so many labels and path parts that would match a URL: each domain it lies in, alone
+    and with each leading part of its path."""
+    every = F.split(host(url), r"\.")
+    own = F.slice(every, F.greatest(F.size(every) - labels, F.lit(0)) + 1, labels)
+    domains = F.transform(F.sequence(F.lit(1), F.size(own)), lambda k: F.array_join(F.slice(own, k, F.size(own)), "."))
+    steps = F.slice(F.filter(F.split(path(url), "/"), lambda p: p != ""), 1, max(1, parts))
+    most = F.least(F.size(steps), F.lit(parts))
+    paths = F.transform(F.sequence(F.lit(0), most), lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(steps, F.lit(1), k), "/"))))
     return F.flatten(F.transform(domains, lambda d: F.transform(paths, lambda p: F.concat(d, p))))
 
 
+def normal(entry: Column) -> Column:
+    """A list entry as keys() writes it: its host in lower case, its path as it is, but for empty parts and a last slash."""
+    tail = F.array_join(F.filter(F.split(F.regexp_extract(entry, r"^[^/]*(.*)$", 1), "/"), lambda p: p != ""), "/")
+    return F.concat(F.lower(F.regexp_extract(entry, r"^([^/]*?)\.?(/|$)", 1)), F.when(tail != "", F.concat(F.lit("/"), tail)).otherwise(F.lit("")))
+
+
 def intervals(listing: DataFrame) -> DataFrame:
     """(entry, action, valid_from, valid_to): each list row holds from its time to that of the entry's next row.
 
     Of rows of one entry and time, a block outlasts an allow; repeated rows count once; rows with a null entry or
-    time are ignored. The last interval of an entry has no end.
+    time are ignored. The last interval of an entry has no end. An empty list has no interval.
     """
     require(listing, "entry", "listed_at", "action")
-    rows = listing.where("entry is not null and listed_at is not null").groupBy(F.lower("entry").alias("entry"), "listed_at").agg(F.max("action").alias("action"))
+    rows = listing.where("entry is not null and listed_at is not null").groupBy(normal(F.col("entry")).alias("entry"), "listed_at").agg(F.max("action").alias("action"))
     return rows.select("entry", "action", F.col("listed_at").alias("valid_from"), F.lead("listed_at").over(W.partitionBy("entry").orderBy("listed_at")).alias("valid_to"))
 
 
@@ -80,13 +90,16 @@ def filter_urls(pages: DataFrame, listing: DataFrame, *, page_id: str = "page_id
 
     The join is an equi-join on entries plus a range on time, over distinct (url, fetch time) only, so that hot
     URLs count once. Its sides have known sizes, from which Spark picks a broadcast or a shuffle as it runs.
-    Repeated rows and null ids stay as they are; empty pages give no rows, an empty list blocks nothing.
+    A URL is looked up by as many labels and path parts as the list's longest entries have, so very long URLs cost no
+    more than others. Hosts match whatever their case, paths only in theirs. Repeated rows and null ids stay as they
+    are; other columns aren't read; empty pages give no rows, an empty list blocks nothing.
     """
     require(pages, page_id, url, fetched_at)
     rows = pages.select(col(page_id).alias("page_id"), col(url).alias("url"), col(fetched_at).alias("fetched_at"))
     captures = rows.where("url is not null and fetched_at is not null").select("url", "fetched_at").distinct()
-    asked = captures.select("url", "fetched_at", F.explode(keys(F.col("url"))).alias("key"))
     valid = intervals(listing)
+    size = listing.where("entry is not null").select(normal(F.col("entry")).alias("e")).agg(F.max(F.regexp_count("e", F.lit("/"))), F.max(F.size(F.split("e", r"\.")))).first()
+    asked = captures.select("url", "fetched_at", F.explode(keys(F.col("url"), size[1] or 1, size[0] or 0)).alias("key"))
     hit = asked.join(valid, (asked.key == valid.entry) & (asked.fetched_at >= valid.valid_from) & (valid.valid_to.isNull() | (asked.fetched_at < valid.valid_to)))
     best = hit.groupBy("url", "fetched_at").agg(F.max_by(F.struct("entry", "action"), F.struct(F.length("entry"), "entry")).alias("best"))
     judged = rows.join(best, ["url", "fetched_at"], "left")
@@ -106,7 +119,7 @@ def filter_urls_sql(table: str = "pages", listing: list[tuple[str, str, str]] =
     return rf"""
     WITH listing AS (SELECT * FROM (VALUES {values}) v(entry, listed_at, action)),
     valid AS (SELECT entry, action, listed_at AS valid_from, lead(listed_at) OVER (PARTITION BY entry ORDER BY listed_at) AS valid_to
-              FROM (SELECT lower(entry) AS entry, listed_at, max(action) AS action FROM listing GROUP BY 1, 2)),
+              FROM (SELECT lower(regexp_extract(entry, '^([^/]*?)\.?(/|$)', 1)) || regexp_extract(regexp_replace(entry, '/+', '/', 'g'), '^[^/]*(.*?)/?$', 1) AS entry, listed_at, max(action) AS action FROM listing GROUP BY 1, 2)),
     rows AS (SELECT page_id, url, TIMESTAMP '2023-01-01 00:00:00' + to_days(CAST(page_id % 730 AS INTEGER)) AS fetched_at FROM {table}),
     split AS (SELECT DISTINCT url, fetched_at,
                 lower(regexp_replace(regexp_replace(regexp_extract(regexp_replace(url, {scheme}, ''), '^([^/?#]*)', 1), '^.*@', ''), '(:[0-9]*)?$|\.(:[0-9]*)?$', '')) AS host,
