@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, col, hashed_words, mixed, portions, require, small_batches
+from .common import Workspace, col, hashed_words, mixed, packed, portions, require, small_batches, unpacked
 from .components import components
 
 BITS = 128
@@ -374,5 +374,6 @@ def drop_near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "
     Columns are unchanged, whatever their names. Rows that near_duplicates() doesn't group (null id or text, no word)
     all stay, as do repeated rows of a kept doc_id; an empty table stays empty.
     """
-    gone = near_duplicates(docs, text=text, doc_id=doc_id, budget=budget).select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, col(doc_id) == F.col("__gone_id"), "left_anti")
+    gone = near_duplicates(docs, text=text, doc_id=doc_id, budget=budget).select(F.col("doc_id").alias("gone"))
+    rows = packed(docs, id=col(doc_id))
+    return unpacked(rows.join(gone, F.col("id") == F.col("gone"), "left_anti"), docs.columns)
