@@ -2,134 +2,108 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Iterator, Mapping, Sequence
+from heapq import heapify, heapreplace
 
 import numpy as np
 import pandas as pd
-import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Workspace, col, require, small_batches
+from .common import Workspace, col, hashed_words, mixed, portions, require, small_batches
 from .packing import token_count
 
 SHARDS = 16
 ROUNDS = 10
 SLACK = 0.02
-LEAST_LINE = 40
 SEED = 4
 #: Words of a passage, and passages of a window: any SHINGLE + WINDOW - 1 words that two texts share link them.
 SHINGLE = 8
 WINDOW = 8
-_GAINS = 32
+#: Classes of gain, each wider by the square root of two, up to the largest number there is.
+_GAINS = 128
 #: Weights are counted in these parts of a line: whole numbers, so that sums don't depend on their order.
 _UNIT = 1 << 32
 _PARTS = 64
 _BUCKETS = 4096
 #: A shard with less than this part of its quota left isn't asked.
 _TIGHT = 0.005
-#: Words; letters of scripts that don't part words stand alone.
-_WORD = re.compile(r"[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]|[^\W\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]+")
-
-
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 150_000:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_hashes = _Hashes()
 
 
 def passages(texts: Sequence[str | None]) -> list[np.ndarray]:
     """For each text the distinct hashes of some of its runs of SHINGLE words, in lower case: the least of every WINDOW
-    that follow one another (winnowing). A text of fewer windows has the least of all; one of fewer words has none."""
-    words, lengths = [], []
-    for t in texts:
-        some = _WORD.findall(t.lower()) if t else []
-        words += some
-        lengths.append(len(some))
+    that follow one another (winnowing). A text of fewer windows has the least of all, one of fewer words than a run
+    has all its words as one; one without words has none."""
     out = [np.empty(0, np.int64)] * len(texts)
-    n = len(words) - SHINGLE + 1
-    if n < 1:
+    h, lengths = hashed_words(texts)
+    if not len(h):
         return out
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    doc = np.repeat(np.arange(len(texts)), lengths)
+    doc, begin = np.repeat(np.arange(len(texts)), lengths), np.cumsum(lengths) - lengths
+    n = max(0, len(h) - SHINGLE + 1)
     g = np.zeros(n, np.uint64)
     for j in range(SHINGLE):
         g = g * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n]
-    for _ in range(2):
-        g = (g ^ (g >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    g = mixed(g)
     inside = doc[:n] == doc[SHINGLE - 1 :]
-    g, doc = g[inside], doc[:n][inside]
-    if not len(g):
-        return out
-    most = np.uint64(2**64 - 1)
-    padded, owner = np.r_[g, np.full(WINDOW, most)], np.r_[doc, np.full(WINDOW, -1)]
-    low = g.copy()
-    for j in range(1, WINDOW):
-        np.minimum(low, np.where(owner[j : j + len(g)] == doc, padded[j : j + len(g)], most), out=low)
-    first = np.r_[True, doc[1:] != doc[:-1]]
-    taken = first | (owner[WINDOW - 1 : WINDOW - 1 + len(g)] == doc)
-    low, doc = low[taken], doc[taken]
-    new = np.r_[True, (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])]
-    low, doc = low[new].view(np.int64), doc[new]
-    cuts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    for k, part in zip(doc[cuts], np.split(low, cuts[1:])):
-        out[k] = np.unique(part)
+    g, owner = g[inside], doc[:n][inside]
+    if len(g):
+        most = np.uint64(2**64 - 1)
+        padded, beyond = np.r_[g, np.full(WINDOW, most)], np.r_[owner, np.full(WINDOW, -1)]
+        low = g.copy()
+        for j in range(1, WINDOW):
+            np.minimum(low, np.where(beyond[j : j + len(g)] == owner, padded[j : j + len(g)], most), out=low)
+        first = np.r_[True, owner[1:] != owner[:-1]]
+        taken = first | (beyond[WINDOW - 1 : WINDOW - 1 + len(g)] == owner)
+        low, owner = low[taken], owner[taken]
+        new = np.r_[True, (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])]
+        low, owner = low[new].view(np.int64), owner[new]
+        cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for k, part in zip(owner[cuts], np.split(low, cuts[1:])):
+            out[k] = np.unique(part)
+    for k in np.flatnonzero((lengths > 0) & (lengths < SHINGLE)):
+        whole = lengths[k : k + 1].astype(np.uint64)
+        for x in h[begin[k] : begin[k] + lengths[k]]:
+            whole = mixed(whole * np.uint64(0x9E3779B97F4A7C15) + x)
+        out[k] = whole.view(np.int64)
     return out
 
 
 def _passages(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for b in batches:
-        texts, rows, at = b.tolist(), [], 0
-        while at < len(texts):  # about half a million characters at a time, at least one text
-            upto, size = at, 0
-            while upto < len(texts) and (upto == at or size < 500_000):
-                size += len(texts[upto] or "")
-                upto += 1
-            rows += passages(texts[at:upto])
-            at = upto
-        yield pd.Series(rows, dtype=object)
-
-
-def links(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
-    """(u, v, w): document u shares w lines of ``least_line`` characters or more of which v is the first holder.
-
-    A line that n documents hold gives n - 1 links, from each to the one with the smallest id, so links grow with
-    the text however many documents share a line. Null ids and texts have no links.
-    """
-    require(docs, text, doc_id)
-    return _links(docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), _lines(col(text), least_line).alias("lines")))
-
-
-def _lines(text: Column, least_line: int) -> Column:
-    long = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.length(x) >= least_line)
-    return F.array_distinct(F.transform(long, lambda x: F.xxhash64(x)))
+        yield pd.Series([r for texts in portions(b.tolist()) for r in passages(texts)], dtype=object)
 
 
-def _marks(text: Column, least_line: int) -> Column:
-    return F.array_union(_lines(text, least_line), F.pandas_udf(_passages, T.ArrayType(T.LongType()))(text))
+def _marks(text: Column) -> Column:
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x) != "")
+    return F.array_union(F.transform(lines, lambda x: F.xxhash64(x)), F.pandas_udf(_passages, T.ArrayType(T.LongType()))(text))
 
 
-def holders(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
-    """(node, id, n, w): a node stands for the w lines of ``least_line`` characters or more, and passages(), that the
-    same n documents hold, two at least. All pairs of holders are linked by it, in one row a holder."""
+def holders(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(node, id, n, w): a node stands for the w lines, of any length but blank ones, and passages(), that the same n
+    documents hold, two at least. All pairs of holders are linked by it, in one row a holder. Null ids and texts hold
+    nothing; repeated rows of one id are one holder."""
     require(docs, text, doc_id)
-    return _holders(docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), _marks(col(text), least_line).alias("marks")))
+    small_batches(docs.sparkSession)
+    space = Workspace(docs.sparkSession)
+    with space.scope():
+        inner = Workspace(docs.sparkSession)
+        signed = inner.put(docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), _marks(col(text)).alias("marks")))
+        return space.put(_holders(signed, inner))
 
 
-def _holders(signed: DataFrame) -> DataFrame:
+def _holders(signed: DataFrame, space: Workspace) -> DataFrame:
     held = signed.select("id", F.explode("marks").alias("mark"))
+    # most marks have one holder: they go before anything else is counted
+    shared = held.groupBy("mark").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("mark")
+    held = space.put(held.join(shared, "mark").select("mark", "id"))
     h = F.xxhash64("id")  # its halves are summed: the sums can't overflow
     sums = [F.count("*").alias("n"), F.sum(F.shiftright(h, 32)).alias("s"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("t"), F.min("id").alias("first"), F.max("id").alias("last")]
-    shared = held.groupBy("mark").agg(*sums).where("first <> last").select("mark", F.xxhash64("n", "s", "t", "first", "last").alias("node"), "n")
-    return held.join(shared, "mark").groupBy("node", "id", "n").agg(F.count_distinct("mark").alias("w"))
+    named = space.put(held.groupBy("mark").agg(*sums).select("mark", F.xxhash64("n", "s", "t", "first", "last").alias("node"), "n"))
+    # marks of one node have one set of holders: one of them stands for all, with their number
+    nodes = named.groupBy("node", "n").agg(F.min("mark").alias("mark"), F.count("*").alias("w"))
+    return held.join(nodes, "mark").select("node", "id", "n", "w")
 
 
 def cut_pairs(held: DataFrame, shards: DataFrame) -> tuple[int, int]:
@@ -140,19 +114,6 @@ def cut_pairs(held: DataFrame, shards: DataFrame) -> tuple[int, int]:
     return got["cut"] or 0, got["total"] or 0
 
 
-def _links(signed: DataFrame) -> DataFrame:
-    held = signed.select("id", F.explode("lines").alias("line"))
-    first = held.groupBy("line").agg(F.min("id").alias("v"), F.max("id").alias("last")).where("v <> last").select("line", "v")
-    return held.join(first, "line").where("id <> v").groupBy(F.col("id").alias("u"), "v").agg(F.count("*").alias("w"))
-
-
-def cut_weight(edges: DataFrame, shards: DataFrame) -> int:
-    """Weight of the links whose ends are in different shards. edges: (u, v, w), shards: (doc_id, shard)."""
-    a = shards.select(F.col("doc_id").alias("u"), F.col("shard").alias("a"))
-    b = shards.select(F.col("doc_id").alias("v"), F.col("shard").alias("b"))
-    return edges.join(a, "u").join(b, "v").agg(F.coalesce(F.sum(F.when(F.col("a") != F.col("b"), F.col("w"))), F.lit(0))).first()[0]
-
-
 def _pick(values: Column, table: dict[int, Column], default: Column) -> Column:
     out = default
     for k, v in table.items():
@@ -160,41 +121,71 @@ def _pick(values: Column, table: dict[int, Column], default: Column) -> Column:
     return out
 
 
-def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, seed: int = SEED, text: str = "text", doc_id: str = "doc_id", least_line: int = LEAST_LINE) -> DataFrame:
+def _spread(sizes: Mapping[int, int], held: Mapping[int, int], shards: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Shard of each bucket, and the shards' sizes then: the largest bucket first, each to the shard that holds least."""
+    heap = [(held.get(s, 0), s) for s in range(shards)]
+    heapify(heap)
+    out = {}
+    for b, t in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        size, s = heap[0]
+        heapreplace(heap, (size + t, s))
+        out[b] = s
+    return out, {s: size for size, s in heap}
+
+
+def _by_bucket(rows: DataFrame, held: Mapping[int, int], shards: int) -> tuple[DataFrame, dict[int, int]]:
+    """rows with a shard by their bucket, and the shards' sizes."""
+    per = {r["bucket"]: r["t"] for r in rows.groupBy("bucket").agg(F.sum("tokens").alias("t")).collect()}  # _BUCKETS rows at most
+    where, sizes = _spread(per, held, shards)
+    table = rows.sparkSession.createDataFrame(sorted(where.items()) or [(0, 0)], "bucket int, shard int")
+    return rows.join(F.broadcast(table), "bucket"), sizes
+
+
+def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, seed: int = SEED, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, shard) for every distinct id: shards of even token sizes that keep linked documents together.
 
     holders() joins documents by shared lines and by passages anywhere in them: nodes, of which all holders are
-    linked. Linked documents start in a shard by hash; each round counts the holders of each node in each shard, and
-    a seeded half of the documents asks to move to the shard, of those with room, that holds most of the weight
-    of its nodes' other holders, if that is more than in its own. A shard admits as much as it has room for below
-    (1 + ``slack``) times an even share, those that gain most first, so the quota is never exceeded. Who finds the
-    best shard full gathers in the next best. Rounds end early when nobody moves. Documents without links then fill
-    the shards up, in ranges of a seeded hash.
-
-    What the driver sees is bounded by ``shards``, not by the documents; each round's shards are written to the
-    shared folder. Rows with a null id are left out; rows with one id are one document, with all their tokens. Null
-    and empty texts have size 0 and no links. An empty table gives no rows.
+    linked. Linked documents start in seeded hash buckets, spread evenly over the shards. Each round counts the holders
+    of each node in each shard, and a seeded half of the documents asks to move to the shard, of those with room,
+    that holds most of the weight of its nodes' other holders, if that is more than in its own. A shard admits as
+    much as it has room for below its quota, by classes of gain, the largest first. Who finds the best shard full
+    gathers in the next best. Rounds end when nobody moves, or after ``rounds``. Documents without links then fill the
+    shards up, by hash buckets, the largest to the emptiest shard.
+
+    The quota is (1 + ``slack``) times an even share, and is never exceeded, unless single documents or hash buckets
+    are larger than the slack: then it is what the even spread at the start needs. What the driver sees is
+    bounded by ``shards`` and the number of buckets; each round's shards are written to the shared folder. Rows with
+    a null id are left out; rows with one id are one document, with all their tokens. Null and empty texts have size
+    0 and no links. Other columns aren't read. An empty table gives no rows.
     """
     require(docs, text, doc_id)
+    space = Workspace(docs.sparkSession)
+    with space.scope():
+        return space.put(_shard_documents(docs, shards, rounds, slack, seed, text, doc_id))
+
+
+def _shard_documents(docs: DataFrame, shards: int, rounds: int, slack: float, seed: int, text: str, doc_id: str) -> DataFrame:
     small_batches(docs.sparkSession)
     space = Workspace(docs.sparkSession)
-    rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _marks(col(text), least_line).alias("marks"))
+    rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _marks(col(text)).alias("marks"))
     signed = space.put(rows)
     # a node pulls each holder with its lines and passages, of which each of the n - 1 others has an even part
-    both = space.put(_holders(signed).select("node", "id", F.expr(f"w * {_UNIT}L div (n - 1)").alias("w")))
+    both = space.put(_holders(signed, space).groupBy("node", "id").agg(F.expr(f"max(w) * {_UNIT}L div (max(n) - 1)").alias("w")))
     sizes = signed.groupBy("id").agg(F.sum("tokens").alias("tokens"))
-    start = sizes.join(both.groupBy("id").agg(F.sum("w").alias("self")), "id", "left")
-    every = space.put(start.select("id", "tokens", "self", F.col("self").isNotNull().alias("linked"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int").alias("shard")))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(_BUCKETS)).cast("int")
+    every = space.put(sizes.join(both.groupBy("id").agg(F.sum("w").alias("self")), "id", "left").withColumn("bucket", bucket))
     space.drop(signed)
-    total = every.agg(F.sum("tokens")).first()[0] or 0
-    quota = int(total / shards * (1 + slack)) + 1
-    now = every.where("linked").select("id", "tokens", "self", "shard")
-    loop = None
+    even = (every.agg(F.sum("tokens")).first()[0] or 0) / shards
+    begin, held = _by_bucket(every.where("self is not null"), {}, shards)
+    quota = max(int(even * (1 + slack)), max(held.values()))
+    now = loop = space.put(begin.select("id", "tokens", "self", "shard"))
+    # every round joins these rows by id: they are laid out once
+    pulls = both.repartition("id").persist(StorageLevel.DISK_ONLY)
     for k in range(rounds):
         held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
         room = {x: quota - held.get(x, 0) for x in range(shards)}
         space_left = _pick(F.col("shard"), {x: F.lit(r if r >= _TIGHT * quota else -1) for x, r in room.items()}, F.lit(-1))
-        count = both.join(now.select("id", "shard"), "id").groupBy("node", "shard").agg(F.count("*").alias("c"))
+        count = pulls.join(now.select("id", "shard"), "id").groupBy("node", "shard").agg(F.count("*").alias("c"))
         weights = both.join(count, "node").groupBy(F.col("id").alias("a"), "shard").agg(F.sum(F.col("w") * F.col("c")).alias("w"))
         own = now.select(F.col("id").alias("a"), "tokens", "self", F.col("shard").alias("own"))
         there = F.col("shard") == F.col("own")
@@ -207,10 +198,9 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUN
         )
         turn = F.pmod(F.xxhash64(F.lit(seed * 1000 + k), "a"), F.lit(2 * _PARTS))
         more = F.col("best.w") - F.col("stay")
-        gain = F.least(F.greatest((2 * (F.log2(more) - 24)).cast("int"), F.lit(1)), F.lit(_GAINS))
-        wish = best.select("a", "tokens", "self", "own", F.when((more > 0) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, gain).alias("gain"), turn.alias("part"))
+        wish = best.select("a", "tokens", "self", "own", F.when((more > 0) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, (2 * F.log2(more)).cast("int")).alias("gain"), turn.alias("part"))
         wish = space.put(wish)
-        asked = wish.where("to is not null").groupBy("to", "gain", "part").agg(F.sum("tokens").alias("t")).collect()  # shards x 32 x 64 rows at most
+        asked = wish.where("to is not null").groupBy("to", "gain", "part").agg(F.sum("tokens").alias("t")).collect()  # shards x _GAINS x _PARTS rows at most
         if not asked:
             space.drop(wish)
             break
@@ -229,22 +219,7 @@ def shard_documents(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUN
         space.drop(wish)
         space.drop(loop)
         now = loop = new
+    pulls.unpersist()
     held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
-    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(_BUCKETS)).cast("int")
-    loose = every.where("not linked").withColumn("bucket", bucket)
-    per = dict(sorted((r["bucket"], r["t"]) for r in loose.groupBy("bucket").agg(F.sum("tokens").alias("t")).collect()))
-    rest, even = sum(per.values()), total / shards
-    room = [max(0.0, even - held.get(s, 0)) for s in range(shards)]
-    scale = rest / sum(room) if sum(room) else 0
-    bounds = list(accumulate(x * scale for x in room)) if scale else [rest * (s + 1) / shards for s in range(shards)]
-    cuts, at, s = [], 0.0, 0  # cuts[s]: first bucket after shard s
-    for b, t in per.items():
-        while s < shards - 1 and at + t / 2 > bounds[s]:
-            cuts.append(b)
-            s += 1
-        at += t
-    cuts += [_BUCKETS] * (shards - len(cuts))
-    filler = F.lit(shards - 1)
-    for s in range(shards - 2, -1, -1):
-        filler = F.when(F.col("bucket") < cuts[s], F.lit(s)).otherwise(filler)
-    return now.select(F.col("id").alias("doc_id"), "shard").unionByName(loose.select(F.col("id").alias("doc_id"), filler.cast("int").alias("shard")))
+    loose, _ = _by_bucket(every.where("self is null"), held, shards)
+    return now.select(F.col("id").alias("doc_id"), "shard").unionByName(loose.select(F.col("id").alias("doc_id"), "shard"))
