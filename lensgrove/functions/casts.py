@@ -21,5 +21,6 @@ def lenient_float(value: Column) -> Column:
 
 
 def to_long(value: Column) -> Column:
-    """A text as a 64-bit integer, or null; fractions are null."""
-    return value.try_cast("bigint")
+    """A text as a 64-bit integer, or null: '12', '12.0' and '1e3' are whole numbers, true fractions are null."""
+    number = value.try_cast("decimal(38,10)")
+    return F.when(value.rlike(_NUMBER) & (number == F.floor(number)), F.round(number, 0).try_cast("bigint"))

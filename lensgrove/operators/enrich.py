@@ -23,8 +23,22 @@ from lensgrove.sources import png
 from .masks import ColourSegmenter, Segmenter, average_rgb, binary, bounding_box, by_confidence, cutout, overlay, resized
 
 
+#: Bytes of images, or of masks and overlays, that a task gathers before it hands them on.
+SLICE_BYTES = 32 << 20
+
+
+def local(path: str) -> str:
+    """The path of a mounted file system that all executors share; object stores have none (ValueError)."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    if "://" in path:
+        raise ValueError(f"{path}: mount it, or write to a shared folder and move it with sources.files")
+    return path
+
+
 def write_atomic(path: str, data: bytes) -> None:
     """Write a file so that it is there whole or not at all; a repeated task writes the same bytes again."""
+    path = local(path)
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     temp = f"{path}.{uuid.uuid4().hex}.part"
     with open(temp, "wb") as f:
@@ -57,11 +71,12 @@ def prefetched(keys: list, job: Callable, workers: int, most: int) -> Iterator[t
                     yield k, None, f"{type(e).__name__}: {e}".strip()
 
 
-def fetch(work: DataFrame, get: Callable[[str], bytes], config: RunConfig = RunConfig(), url: str = "photo_url") -> DataFrame:
+def fetch(work: DataFrame, get: Callable[[str], bytes], config: RunConfig = RunConfig(), url: str = "photo_url", keep: bool = True) -> DataFrame:
     """work with content, download ('exists', 'downloaded' or 'dl_failed') and download_error.
 
-    A file that is at image_path with bytes in it is read instead of fetched. Each task fetches with a bounded
-    thread pool while its rows go on.
+    A file that is at image_path with bytes in it is read instead of fetched; what is fetched is written there, whole
+    or not at all, unless ``keep`` is false or the row has no image_path, so that a second run finds it. Each task
+    fetches with a bounded thread pool, and hands rows on as soon as they hold SLICE_BYTES.
     """
     schema = T.StructType([*work.schema.fields, T.StructField("content", T.BinaryType()), T.StructField("download", T.StringType()), T.StructField("download_error", T.StringType())])
     has_path, workers, most = "image_path" in work.columns, config.workers, config.prefetch
@@ -71,22 +86,52 @@ def fetch(work: DataFrame, get: Callable[[str], bytes], config: RunConfig = RunC
 
             def job(k: int):
                 path = b["image_path"].iat[k] if has_path else None
+                path = local(path) if path else None
                 if path and os.path.exists(path) and os.path.getsize(path):
                     with open(path, "rb") as f:
                         return f.read(), "exists"
-                return get(b[url].iat[k]), "downloaded"
+                data = get(b[url].iat[k])
+                if path and keep and data:
+                    write_atomic(path, data)
+                return data, "downloaded"
 
-            content, state, error = [None] * len(b), ["dl_failed"] * len(b), [None] * len(b)
+            rows, held = [], 0
             for k, got, why in prefetched(list(range(len(b))), job, workers, most):
-                if why is None:
-                    content[k], state[k] = got
-                else:
-                    error[k] = why
-            yield b.assign(content=content, download=state, download_error=error)
+                rows.append((k, None, "dl_failed", why) if why is not None else (k, *got, None))
+                held += len(rows[-1][1] or b"")
+                if held >= SLICE_BYTES:
+                    yield _handed(b, rows)
+                    rows, held = [], 0
+            if rows:
+                yield _handed(b, rows)
 
     return work.mapInPandas(run, schema)
 
 
+def _handed(b: pd.DataFrame, rows: list[tuple]) -> pd.DataFrame:
+    at, content, state, error = zip(*rows)
+    return b.iloc[list(at)].reset_index(drop=True).assign(content=pd.Series(content, dtype=object), download=pd.Series(state, dtype=object), download_error=pd.Series(error, dtype=object))
+
+
+def with_images(work: DataFrame, base: str, path: str = "image_path") -> DataFrame:
+    """work with ``content`` as Spark's own image struct: every file under ``base`` is decoded in the JVM (JPEG, PNG,
+    GIF, BMP) and joined by its path; a file that is missing or no image gives null."""
+    spark = work.sparkSession
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    found = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(base)
+    found = found.select(plain(F.col("image.origin")).alias("__path"), F.col("image").alias("content"))
+    return work.drop("content").join(found, plain(F.col(path)) == F.col("__path"), "left").drop("__path")
+
+
+def pixels(content) -> np.ndarray:
+    """(h, w, 3) from PNG bytes, or from an image struct, whose channels are blue, green, red."""
+    if isinstance(content, (bytes, bytearray)):
+        return png.to_rgb(png.decode(bytes(content)))
+    get = content.get if isinstance(content, dict) else lambda n: content[n]
+    a = np.frombuffer(get("data"), np.uint8).reshape(get("height"), get("width"), get("nChannels"))
+    return np.repeat(a, 3, 2) if a.shape[2] == 1 else np.ascontiguousarray(a[:, :, 2::-1])
+
+
 ENRICHED = T.StructType(
     [
         T.StructField("instances", T.ArrayType(schemas.INSTANCE)),
@@ -100,14 +145,14 @@ ENRICHED = T.StructType(
 )
 
 
-def enrich_image(content: bytes | None, segmenter: Segmenter, config: RunConfig) -> dict:
+def enrich_image(content, segmenter: Segmenter, config: RunConfig) -> dict:
     """One image's instances in order of confidence, with overlay and cut-outs; never raises."""
     began = time.perf_counter()
     out: dict = {"instances": [], "overlay": None, "cutouts": [], "overlay_count": 0, "status": "ok", "error": None}
     try:
         if content is None:
             return out | {"status": "dl_failed", "duration_sec": 0.0}
-        rgb = png.to_rgb(png.decode(content))
+        rgb = pixels(content)
         h, w = rgb.shape[:2]
         floor = config.score_threshold if config.min_score is None else config.min_score
         kept = []
@@ -129,7 +174,7 @@ def enrich_image(content: bytes | None, segmenter: Segmenter, config: RunConfig)
 
 
 def segment(images: DataFrame, segmenter: Segmenter | None = None, config: RunConfig = RunConfig(), content: str = "content") -> DataFrame:
-    """images without their bytes, with ENRICHED columns. The model goes to each worker once a task.
+    """images without their bytes, with ENRICHED columns; ``content`` is PNG bytes or an image struct of with_images(). The model goes to each worker once a task.
 
     Materialise the result before several consumers read it, or the model runs for each of them.
     """
@@ -137,14 +182,22 @@ def segment(images: DataFrame, segmenter: Segmenter | None = None, config: RunCo
     keep = [f for f in images.schema.fields if f.name != content]
     schema = T.StructType([*keep, *ENRICHED.fields])
 
+    def handed(rest: pd.DataFrame, found: list[dict]) -> pd.DataFrame:
+        for f in ENRICHED.fields:
+            rest[f.name] = pd.Series([x[f.name] for x in found], dtype="float64" if f.name == "duration_sec" else object)
+        rest["overlay_count"] = rest["overlay_count"].astype("int32")
+        return rest
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [enrich_image(None if c is None else bytes(c), model, config) for c in b[content]]
-            rest = b.drop(columns=[content]).reset_index(drop=True)
-            for f in ENRICHED.fields:
-                rest[f.name] = pd.Series([x[f.name] for x in found], dtype="float64" if f.name == "duration_sec" else object)
-            rest["overlay_count"] = rest["overlay_count"].astype("int32")
-            yield rest
+            rest, begin, found, held = b.drop(columns=[content]), 0, [], 0
+            for k, c in enumerate(b[content]):
+                x = enrich_image(c, model, config)
+                found.append(x)
+                held += len(x["overlay"] or b"") + sum(map(len, filter(None, x["cutouts"]))) + sum(len(i["mask"]["data"]) for i in x["instances"])
+                if held >= SLICE_BYTES or k + 1 == len(b):
+                    yield handed(rest.iloc[begin : k + 1].reset_index(drop=True), found)
+                    begin, found, held = k + 1, [], 0
 
     return images.mapInPandas(run, schema)
 

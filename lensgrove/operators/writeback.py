@@ -23,11 +23,30 @@ def write_back(metadata: DataFrame, ledger: DataFrame, value: str = "avg_rgb", k
     return base.join(new, match, "left").drop(*[f"__{k}" for k in keys])
 
 
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish a replace_table() that was cut off between its two renames: the new table if it was whole, else the old."""
+    now, fs = _path(spark, path)
+    if fs.exists(now):
+        return
+    for suffix in (".new", ".old"):
+        found, _ = _path(spark, path + suffix)
+        whole, _ = _path(spark, f"{path}{suffix}/_SUCCESS")
+        if fs.exists(whole) or (suffix == ".old" and fs.exists(found)):
+            fs.rename(found, now)
+            return
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite a Parquet table that df may be reading: write beside it, then swap."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fresh, old, now = (jvm.org.apache.hadoop.fs.Path(p) for p in (path + ".new", path + ".old", path))
-    fs = now.getFileSystem(conf)
+    """Overwrite a Parquet table that df may be reading: write beside it, then swap. A crash in between leaves the old
+    table or a whole new one beside it, and recover_table(), which readers and the next call start with, puts it back."""
+    recover_table(spark, path)
+    now, fs = _path(spark, path)
+    fresh, old = _path(spark, path + ".new")[0], _path(spark, path + ".old")[0]
     df.write.mode("overwrite").parquet(path + ".new")
     fs.delete(old, True)
     if fs.exists(now):

@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lensgrove.config import RunConfig
-from lensgrove.operators.enrich import ledger_rows, segment
-from lensgrove.operators.masks import ColourSegmenter
 from lensgrove.sources import png
 
 
@@ -34,9 +31,3 @@ def pictures(embeddings: DataFrame) -> DataFrame:
     made = embeddings.select("vec_id", "embedding").mapInPandas(run, "global_index bigint, content binary")
     batch = F.lit("batch_00001")
     return made.withColumns({"batch_name": batch, "stem": F.concat(F.lit("v_"), F.col("global_index").cast("string")), "mask_batch_relpath": F.concat_ws("/", F.lit("masks"), batch)})
-
-
-def ledger_of_embeddings(embeddings: DataFrame) -> DataFrame:
-    config = RunConfig(score_threshold=0.3)
-    rows = ledger_rows(segment(pictures(embeddings), ColourSegmenter(), config), config)
-    return rows.select("global_index", "num_instances", "mask_files", "mask_scores", "avg_rgb", "status", "error")

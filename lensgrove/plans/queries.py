@@ -374,19 +374,4 @@ def small_texts(spark, d):
     return table(spark, d, "documents").select("doc_id", L.marker(status).alias("mark"), L.rgb_text(rgb).alias("rgb"), first.alias("first"), F.array_join(numbers.cast("array<string>"), ";").alias("numbers"))
 
 
-@query()
-def log_parse(spark, d):
-    """Job logs made of events, one for each user; rows only."""
-    code = F.when(F.col("k") == 0, "000").when(F.col("k") == 1, "001").otherwise("005")
-    rows = table(spark, d, "events").select("user_id", "event_id", "ts", F.pmod("event_id", F.lit(3)).alias("k"))
-    line = F.concat(code, F.lit(" ("), F.col("user_id").cast("string"), F.lit(".0.0) "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" Job event."))
-    logs = rows.groupBy(F.col("user_id").cast("string").alias("path")).agg(L.ordered_join(line, F.col("event_id"), "\n").alias("text"))
-    return report.job_summary(logs.withColumn("text", F.concat("text", F.lit("\n\t(1) Normal termination (return value 0)\n"))))
-
-
-@query()
-def enrich_images(spark, d):
-    """Small images made of embeddings, segmented, reduced to ledger rows; rows only."""
-    from . import images
-
-    return images.ledger_of_embeddings(table(spark, d, "embeddings"))
+from . import io_queries  # noqa: E402, F401  its queries are registered with these

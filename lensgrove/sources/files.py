@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path under the shared folder that the session names in spark.checkpoint.dir; only a local master
+    may do without, and has a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lensgrove-")
+    return f"{base}/files-{uuid.uuid4().hex}"
+
+
 def read_dump(spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None) -> DataFrame:
     """A gzip or plain tab-separated dump with a header; all columns are strings, unquoted empty fields are null.
 

@@ -18,6 +18,10 @@ def test_lenient_int(spark):
     assert values(spark, "string", ["99999999999"], lambda c: L.lenient_int(c, "bigint")) == [99999999999]
 
 
+def test_to_long(spark):
+    assert values(spark, "string", ["12", "12.0", "1e3", "12.5", "", "x", None, " 7 "], L.to_long) == [12, 12, 1000, None, None, None, None, 7]
+
+
 def test_lenient_float(spark):
     assert values(spark, "string", ["43.1", "", "x", None], L.lenient_float) == [pytest.approx(43.1, rel=1e-6), None, None, None]
 

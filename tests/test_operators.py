@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lensgrove import schemas
 from lensgrove.config import RunConfig, variants
-from lensgrove.operators import catalog, enrich, ledger, masks, metrics, report, worklist, writeback
+from lensgrove.operators import catalog, enrich, ledger, masks, metrics, receipt, report, worklist, writeback
 from lensgrove.plans import images
 from lensgrove.sources import png
 
@@ -86,6 +87,9 @@ def test_replace_a_table_that_is_being_read(spark, tmp_path):
     spark.range(3).write.parquet(path)
     writeback.replace_table(spark, spark.read.parquet(path).withColumn("x", F.col("id") * 2), path)
     assert spark.read.parquet(path).columns == ["id", "x"]
+    (tmp_path / "t").rename(tmp_path / "t.old")  # cut off between the renames
+    writeback.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_masks():
@@ -165,6 +169,60 @@ def test_fetch_reads_what_is_there(spark, tmp_path):
     assert got["bad"] == ("dl_failed", None, "OSError: gone")
 
 
+def test_jpeg_is_fetched_kept_decoded_and_segmented(spark, tmp_path):
+    jvm = spark._jvm
+    made = jvm.java.awt.image.BufferedImage(64, 48, 1)
+    for y in range(48):
+        for x in range(64):
+            made.setRGB(x, y, 0xC81414 if 16 <= x < 48 and 16 <= y < 32 else 0x5A5A5A)
+    out = jvm.java.io.File(str(tmp_path / "source.jpg"))
+    assert jvm.javax.imageio.ImageIO.write(made, "jpg", out)
+    photo = (tmp_path / "source.jpg").read_bytes()
+    base = str(tmp_path / "run")
+    work = spark.createDataFrame([(k, f"u{k}", f"{base}/images/b/{k}.jpg", "b", f"v_{k}", "masks/b") for k in (1, 2)], "global_index bigint, photo_url string, image_path string, batch_name string, stem string, mask_batch_relpath string")
+
+    def get(url, photo=photo):
+        return photo if url == "u1" else b"no image"
+
+    config = RunConfig(score_threshold=0.3)
+    for state in ("downloaded", "exists"):
+        got = enrich.fetch(work, get, config).drop("content")
+        got.write.mode("overwrite").parquet(str(tmp_path / state))
+        got = spark.read.parquet(str(tmp_path / state))
+        assert {r["download"] for r in got.collect()} == {state}
+    rows = {r["global_index"]: r for r in enrich.ledger_rows(enrich.segment(enrich.with_images(got, base), config=config), config).collect()}
+    assert (rows[1]["status"], rows[1]["num_instances"], rows[2]["status"]) == ("ok", 1, "dl_failed")
+    c = rows[1]["avg_rgb"][0]
+    assert abs(c["r"] - 200) < 12 and abs(c["g"] - 20) < 12
+
+
+def test_slices_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(enrich, "SLICE_BYTES", 10)
+    b = [pd.DataFrame({"k": range(7), "photo_url": [f"u{k}" for k in range(7)]})]
+    sizes = []
+
+    class Frame:
+        schema = spark.createDataFrame([(1, "u")], "k bigint, photo_url string").schema
+        columns = ["k", "photo_url"]
+
+        def mapInPandas(self, run, schema):
+            got = list(run(iter(b)))
+            sizes.extend(map(len, got))
+            return pd.concat(got)
+
+    got = enrich.fetch(Frame(), lambda u: b"12345")
+    assert sorted(got["k"]) == list(range(7)) and max(sizes) == 2
+
+
+def test_receipt_of_an_upload(spark, tmp_path):
+    (tmp_path / "run/a").mkdir(parents=True)
+    (tmp_path / "run/a/x.npy").write_bytes(b"123")
+    row = receipt.send(spark, str(tmp_path / "run"), str(tmp_path / "run.tar"), "file://" + str(tmp_path / "share"), "s", str(tmp_path / "receipt.json")).first()
+    assert row["tar_bytes"] == (tmp_path / "share/s/run.tar").stat().st_size and row["remote_listing"] == "run.tar"
+    with pytest.raises(ValueError):
+        enrich.write_atomic("s3a://bucket/x", b"")
+
+
 def test_prefetch_is_bounded():
     running, most = [0], [0]
 

@@ -14,9 +14,8 @@ def test_query_equals_sql(spark, name):
     assert_same(QUERIES[name](spark, FOLDER), ORACLES[name], FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_sql_has_rows(spark, name):
-    assert QUERIES[name](spark, FOLDER).count() > 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):
