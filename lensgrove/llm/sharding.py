@@ -28,6 +28,8 @@ _GAINS = 128
 _UNIT = 1 << 32
 _PARTS = 64
 _BUCKETS = 4096
+#: Holders of a node that one task joins at a time, about.
+_CHUNK = 1 << 20
 #: A shard with less than this part of its quota left isn't asked.
 _TIGHT = 0.005
 
@@ -95,15 +97,17 @@ def holders(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> D
 
 def _holders(signed: DataFrame, space: Workspace) -> DataFrame:
     held = signed.select("id", F.explode("marks").alias("mark"))
-    # most marks have one holder: they go before anything else is counted
-    shared = held.groupBy("mark").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("mark")
-    held = space.put(held.join(shared, "mark").select("mark", "id"))
+    # most marks have one holder: they go before anything else is counted. Both sides of each join come from shuffles of
+    # their own, so that the holders of a hot mark are split at run time; the other side has a row a mark, and is hashed
+    shared = space.put(held.groupBy("mark").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("mark"))
+    held = space.put(held.join(shared.hint("shuffle_hash"), "mark").select("mark", "id"))
+    held = space.put(held.distinct())  # repeated rows of one id are one holder
     h = F.xxhash64("id")  # its halves are summed: the sums can't overflow
     sums = [F.count("*").alias("n"), F.sum(F.shiftright(h, 32)).alias("s"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("t"), F.min("id").alias("first"), F.max("id").alias("last")]
     named = space.put(held.groupBy("mark").agg(*sums).select("mark", F.xxhash64("n", "s", "t", "first", "last").alias("node"), "n"))
     # marks of one node have one set of holders: one of them stands for all, with their number
-    nodes = named.groupBy("node", "n").agg(F.min("mark").alias("mark"), F.count("*").alias("w"))
-    return held.join(nodes, "mark").select("node", "id", "n", "w")
+    nodes = space.put(named.groupBy("node", "n").agg(F.min("mark").alias("mark"), F.count("*").alias("w")))
+    return held.join(nodes.hint("shuffle_hash"), "mark").select("node", "id", "n", "w")
 
 
 def cut_pairs(held: DataFrame, shards: DataFrame) -> tuple[int, int]:
@@ -169,8 +173,12 @@ def _shard_documents(docs: DataFrame, shards: int, rounds: int, slack: float, se
     space = Workspace(docs.sparkSession)
     rows = docs.where(col(doc_id).isNotNull()).select(col(doc_id).alias("id"), token_count(col(text)).alias("tokens"), _marks(col(text)).alias("marks"))
     signed = space.put(rows)
-    # a node pulls each holder with its lines and passages, of which each of the n - 1 others has an even part
-    both = space.put(_holders(signed, space).groupBy("node", "id").agg(F.expr(f"max(w) * {_UNIT}L div (max(n) - 1)").alias("w")))
+    # a node pulls each holder with its lines and passages, of which each of the n - 1 others has an even part; the
+    # holders of a node are in parts of some CHUNK rows
+    parts = F.ceil(F.max("n") / _CHUNK).cast("int")
+    part = F.pmod(F.xxhash64("id", F.lit(seed)), "parts").cast("int").alias("part")
+    pull = F.expr(f"max(w) * {_UNIT}L div (max(n) - 1)").alias("w")
+    both = space.put(_holders(signed, space).groupBy("node", "id").agg(pull, parts.alias("parts")).select("node", "id", "w", "parts", part))
     sizes = signed.groupBy("id").agg(F.sum("tokens").alias("tokens"))
     bucket = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(_BUCKETS)).cast("int")
     every = space.put(sizes.join(both.groupBy("id").agg(F.sum("w").alias("self")), "id", "left").withColumn("bucket", bucket))
@@ -179,25 +187,31 @@ def _shard_documents(docs: DataFrame, shards: int, rounds: int, slack: float, se
     begin, held = _by_bucket(every.where("self is not null"), {}, shards)
     quota = max(int(even * (1 + slack)), max(held.values()))
     now = loop = space.put(begin.select("id", "tokens", "self", "shard"))
-    # every round joins these rows by id: they are laid out once
-    pulls = both.repartition("id").persist(StorageLevel.DISK_ONLY)
+    # every round joins these rows by id and by node: they are laid out once for each
+    by_id = both.select("node", "id", "parts").repartition("id").persist(StorageLevel.DISK_ONLY)
+    by_node = both.select("node", "part", "id", "w").repartition("node", "part").persist(StorageLevel.DISK_ONLY)
+    every_shard = range(shards)
     for k in range(rounds):
         held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
-        room = {x: quota - held.get(x, 0) for x in range(shards)}
-        space_left = _pick(F.col("shard"), {x: F.lit(r if r >= _TIGHT * quota else -1) for x, r in room.items()}, F.lit(-1))
-        count = pulls.join(now.select("id", "shard"), "id").groupBy("node", "shard").agg(F.count("*").alias("c"))
-        weights = both.join(count, "node").groupBy(F.col("id").alias("a"), "shard").agg(F.sum(F.col("w") * F.col("c")).alias("w"))
-        own = now.select(F.col("id").alias("a"), "tokens", "self", F.col("shard").alias("own"))
-        there = F.col("shard") == F.col("own")
-        best = weights.join(own, "a").groupBy("a").agg(
-            F.max(F.when(~there & (F.col("tokens") <= space_left), F.struct("w", (-F.col("shard")).alias("s")))).alias("best"),
-            F.max(F.when(there, F.col("w") - F.col("self"))).alias("stay"),  # without the document itself
-            F.first("own").alias("own"),
-            F.first("tokens").alias("tokens"),
-            F.first("self").alias("self"),
+        room = {x: quota - held.get(x, 0) for x in every_shard}
+        # a node's holders in each shard are one row, for each part of the node
+        there = by_id.join(now.select("id", "shard").hint("shuffle_hash"), "id")
+        count = there.groupBy("node").agg(F.first("parts").alias("parts"), *[F.count(F.when(F.col("shard") == s, 1)).alias(f"c{s}") for s in every_shard])
+        count = count.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        weights = by_node.join(count.hint("shuffle_hash"), ["node", "part"]).groupBy("id").agg(*[F.sum(F.col("w") * F.col(f"c{s}")).alias(f"w{s}") for s in every_shard])
+        own = now.select("id", "tokens", "self", F.col("shard").alias("own"))
+        fits = {s: (F.col("own") != s) & (F.col("tokens") <= (room[s] if room[s] >= _TIGHT * quota else -1)) for s in every_shard}
+        choice = [F.when(fits[s] & (F.col(f"w{s}") > 0), F.struct(F.col(f"w{s}").alias("w"), F.lit(-s).alias("s"))) for s in every_shard]
+        best = weights.join(own.hint("shuffle_hash"), "id").select(
+            F.col("id").alias("a"),
+            F.array_max(F.array(*choice)).alias("best"),
+            (F.element_at(F.array(*[F.col(f"w{s}") for s in every_shard]), F.col("own") + 1) - F.col("self")).alias("stay"),  # without the document itself
+            "own",
+            "tokens",
+            "self",
         )
         turn = F.pmod(F.xxhash64(F.lit(seed * 1000 + k), "a"), F.lit(2 * _PARTS))
-        more = F.col("best.w") - F.col("stay")
+        more = F.coalesce(F.col("best.w") - F.col("stay"), F.lit(0))
         wish = best.select("a", "tokens", "self", "own", F.when((more > 0) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, (2 * F.log2(more)).cast("int")).alias("gain"), turn.alias("part"))
         wish = space.put(wish)
         asked = wish.where("to is not null").groupBy("to", "gain", "part").agg(F.sum("tokens").alias("t")).collect()  # shards x _GAINS x _PARTS rows at most
@@ -219,7 +233,8 @@ def _shard_documents(docs: DataFrame, shards: int, rounds: int, slack: float, se
         space.drop(wish)
         space.drop(loop)
         now = loop = new
-    pulls.unpersist()
+    by_id.unpersist()
+    by_node.unpersist()
     held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
     loose, _ = _by_bucket(every.where("self is null"), held, shards)
     return now.select(F.col("id").alias("doc_id"), "shard").unionByName(loose.select(F.col("id").alias("doc_id"), "shard"))
