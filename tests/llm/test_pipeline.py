@@ -28,11 +28,11 @@ def test_run_by_brute_force(spark):
     for r in sorted(kept, key=lambda r: r["doc_id"]):
         first.setdefault(r["text"], r)
     kept = list(first.values())
-    fps, sizes = simhash.simhash([r["text"] for r in kept])
+    fps = simhash.simhash([r["text"] for r in kept])
     pairs = {
         (i, j)
         for i, j in itertools.combinations(range(len(kept)), 2)
-        if fps[i] and fps[j] and close(fps[i], fps[j], simhash.BUDGET) and max(sizes[i], sizes[j]) <= min(sizes[i], sizes[j]) / simhash.LENGTH_RATIO
+        if fps[i] and fps[j] and close(fps[i], fps[j], simhash.BUDGET)
     }
     label = groups(pairs, len(kept))  # rows are in the order of doc_id, so the least index is the least id
     kept = [r for k, r in enumerate(kept) if label[k] == k]
