@@ -9,27 +9,29 @@ from lensgrove.llm.common import Workspace
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; the model is fitted on labelled rows of the stage's own input."""
+    """Documents in a known language; the model is fitted on labelled rows of the stage's own input.
+
+    Null, empty and letterless texts go, as they have no language; null ids and repeated rows stay if their text does."""
     return langid.keep_identified(docs)
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, the least id first; rows with a null text all stay."""
     return exact_dedup.exact_dedup(docs)
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the least id; null ids, null texts and texts without words stay."""
     return simhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled and repeated so that sources get tokens by their weights."""
+    """Documents sampled and repeated so that sources get tokens by their weights; ties go by a seeded hash of the row."""
     return mixing.mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes in the training sequences."""
+    """Where each piece of each document goes in the training sequences; repeated rows are packed each."""
     return packing.harmonic_pack(docs)
 
 
@@ -50,5 +52,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = space.put(stage(spark, docs, sf_dir))
+        before, docs = docs, space.put(stage(spark, docs, sf_dir))
+        space.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
