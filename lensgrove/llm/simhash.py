@@ -20,10 +20,16 @@ WIDTH = BITS // BLOCKS
 BUDGET = 23
 #: Fingerprints of one trie that a task holds, about; more of them are parted by longer prefixes, and by chunks.
 SUBTRIE_ROWS = 1 << 20
-#: Row pairs compared, and node pairs expanded, at a time: they bound a task's memory, not what it finds.
-CELLS = 250_000
+#: Row pairs compared, rows gathered for that, and node pairs expanded, at a time: they bound a task's memory, not what
+#: it finds.
+CELLS = 1 << 16
+GATHERED = 1 << 19
 NODES = 60_000
-LEAF = 48
+#: Node pairs of as many row pairs are compared outright, of DEEP times as many below the first block: there one bit
+#: more hardly prunes. Nodes that have fewer than SPARSE row pairs with all their partners are compared together.
+LEAF = 1024
+DEEP = 64
+SPARSE = 256
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: A byte's bits as eight bytes, in one word: sums of these words count bits.
@@ -181,7 +187,8 @@ def trie_pairs(keys: np.ndarray, budget: int, middle: int | None = None, depth:
     the traversal starts with the pair (root, root) of all rows; with ``middle``, with the roots of two tries, the
     rows before it and those from it on, each sorted, whose common prefixes of ``depth`` bits differ in ``errors``.
     A step descends both nodes of a pair by one bit: equal bits keep the errors, unequal bits add one, and a pair
-    beyond allowance() is dropped. Pairs of small nodes are compared outright.
+    beyond allowance() is dropped. Pairs of small nodes are compared outright, all partners of a node at once, and
+    their rows again are held against allowance() at the end of the first word.
 
     With ``linked``, a spanning forest of what the pairs connect, as (row, least row of its component): pairs are
     folded into it as they come, neighbours in sorted order first, and node pairs within one component are not
@@ -214,7 +221,30 @@ def trie_pairs(keys: np.ndarray, budget: int, middle: int | None = None, depth:
             low = np.where(going & ~one, at + 1, low)
         return low
 
+    first = np.ascontiguousarray(keys[:, 0])
+    half = allowance(64, budget)  # of the rotation that has to find the pair
+    xor, errs, good = np.empty(CELLS, np.uint64), np.empty(CELLS, np.uint8), np.empty(CELLS, bool)
+
+    def keep(i, j):
+        ok = (i < j) & _near(keys, i, j, budget)
+        found.add(i[ok], j[ok])
+
     def compare(a0, a1, b0, b1):
+        order = np.argsort(a0, kind="stable")
+        a0, a1, b0, b1 = (x[order] for x in (a0, a1, b0, b1))
+        begin = np.flatnonzero(np.r_[True, a0[1:] != a0[:-1]])
+        few = np.add.reduceat((a1 - a0) * (b1 - b0), begin) < SPARSE
+        of = np.repeat(few, np.diff(np.r_[begin, len(a0)]))
+        if of.any():
+            sparse(a0[of], a1[of], b0[of], b1[of])
+            a0, a1, b0, b1 = (x[~of] for x in (a0, a1, b0, b1))
+        at = 0
+        while at < len(a0):
+            upto = max(at + 1, int(np.searchsorted(np.cumsum(b1[at:] - b0[at:]), GATHERED, side="right")) + at)
+            dense(a0[at:upto], a1[at:upto], b0[at:upto], b1[at:upto])
+            at = upto
+
+    def sparse(a0, a1, b0, b1):
         nb, size = b1 - b0, (a1 - a0) * (b1 - b0)
         ends = np.cumsum(size)
         for begin in range(0, int(ends[-1]), CELLS):
@@ -222,21 +252,48 @@ def trie_pairs(keys: np.ndarray, budget: int, middle: int | None = None, depth:
             which = np.searchsorted(ends, cell, side="right")
             k = cell - (ends[which] - size[which])
             i, j = a0[which] + k // nb[which], b0[which] + k % nb[which]
-            ok = (i < j) & (np.bitwise_count(keys[i, 0] ^ keys[j, 0]) <= budget)
-            i, j = i[ok], j[ok]
-            ok = _near(keys, i, j, budget)
-            found.add(i[ok], j[ok])
+            ok = np.bitwise_count(first[i] ^ first[j]) <= half
+            keep(i[ok], j[ok])
+
+    def dense(a0, a1, b0, b1):
+        """One node's rows against those of all its partners at once, by first words."""
+        nb = b1 - b0
+        ends = np.cumsum(nb)
+        rows = np.arange(ends[-1]) + np.repeat(b0 - ends + nb, nb)
+        right = first[rows]
+        cuts = np.flatnonzero(np.r_[True, a0[1:] != a0[:-1]])
+        i, j, many = [], [], 0
+        for x0, x1, y0, y1 in zip(a0[cuts].tolist(), a1[cuts].tolist(), np.r_[0, ends][cuts].tolist(), np.r_[ends[cuts[1:] - 1], ends[-1]].tolist()):
+            for x in range(x0, x1, CELLS):
+                height = min(x1 - x, CELLS)
+                left, step = first[x : x + height, None], CELLS // height
+                for y in range(y0, y1, step):
+                    width = min(y1 - y, step)
+                    u, e, g = (t[: height * width].reshape(height, width) for t in (xor, errs, good))
+                    np.bitwise_xor(left, right[y : y + width], out=u)
+                    np.bitwise_count(u, out=e)
+                    np.less_equal(e, half, out=g)
+                    f = np.flatnonzero(good[: height * width])
+                    if len(f):
+                        i.append(x + f // width)
+                        j.append(rows[y + f % width])
+                        many += len(f)
+                        if many > CELLS:
+                            keep(np.concatenate(i), np.concatenate(j))
+                            i, j, many = [], [], 0
+        if many:
+            keep(np.concatenate(i), np.concatenate(j))
 
     while stack:
         d, a0, a1, b0, b1, err = stack.pop()
-        if len(a0) > NODES:
-            half = len(a0) // 2
-            stack += [(d, *(x[:half] for x in (a0, a1, b0, b1, err))), (d, *(x[half:] for x in (a0, a1, b0, b1, err)))]
+        if len(a0) > NODES:  # a node's pairs stay together
+            order, middle = np.argsort(a0, kind="stable"), len(a0) // 2
+            stack += [(d, *(x[some] for x in (a0, a1, b0, b1, err))) for some in (order[:middle], order[middle:])]
             continue
         ok = found.open(a0, a1, b0, b1)
         if ok is not None and not ok.all():
             a0, a1, b0, b1, err = (x[ok] for x in (a0, a1, b0, b1, err))
-        small = ((a1 - a0) * (b1 - b0) <= leaf) | (d >= BITS)
+        small = ((a1 - a0) * (b1 - b0) <= (leaf if d < WIDTH else DEEP * leaf)) | (d >= BITS)
         if small.any():
             compare(a0[small], a1[small], b0[small], b1[small])
             a0, a1, b0, b1, err = (x[~small] for x in (a0, a1, b0, b1, err))
@@ -280,14 +337,14 @@ _PAIR = T.StructType([T.StructField("u", T.BinaryType()), T.StructField("v", T.B
 
 def _join_tries(budget: int, prefix: int, linked: bool):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        turn, errors, _ = key
+        a, b, turn = map(int, key)
         right = rows["right"].to_numpy(bool)
         keys = rows[["x", "y"]].to_numpy(np.int64).view(np.uint64)
         order = np.lexsort((keys[:, 1], keys[:, 0], right))
         keys, middle = keys[order], int((~right).sum())
-        whole = key[2].startswith("=")  # a trie with itself
-        i, j = trie_pairs(keys, budget, None if whole else middle, prefix, int(errors), linked=linked)
-        names = rotated(keys, -int(turn)).astype(">u8").view("V16").ravel()
+        errors = ((a ^ b) >> 32).bit_count()
+        i, j = trie_pairs(keys, budget, None if a == b else middle, prefix, errors, linked=linked)  # a == b: a trie with itself
+        names = rotated(keys, -turn).astype(">u8").view("V16").ravel()
         return pd.DataFrame({"u": [x.tobytes() for x in names[i]], "v": [x.tobytes() for x in names[j]]}, dtype=object)
 
     return run
@@ -333,11 +390,10 @@ def fingerprint_pairs(distinct: DataFrame, *, budget: int = BUDGET, linked: bool
             routed = routed.join(F.broadcast(table), ["turn", "p"], "left").join(F.broadcast(table.select("turn", F.col("p").alias("q"), F.col("s").alias("t"))), ["turn", "q"], "left")
             routed = routed.select("turn", "x", "y", "p", "q", F.pmod(F.xxhash64("x", "y"), F.coalesce("s", F.lit(1))).cast("int").alias("c"), F.explode(F.sequence(F.lit(0), F.coalesce("t", F.lit(1)) - 1)).alias("d"))
             c, d = F.col("c"), F.col("d")
-    own, other = F.struct(F.col("p").alias("a"), c.alias("b")), F.struct(F.col("q").alias("a"), d.alias("b"))
-    name = lambda x: F.concat_ws(".", x["a"], x["b"])
-    cell = F.when(own == other, F.concat(F.lit("="), name(own))).otherwise(F.concat_ws("-", name(F.least(own, other)), name(F.greatest(own, other))))
-    cells = routed.select("turn", F.bit_count(F.col("p").bitwiseXOR(F.col("q"))).alias("errors"), cell.alias("cell"), "x", "y", (own > other).alias("right"))
-    found = cells.groupBy("turn", "errors", "cell").applyInPandas(_join_tries(budget, depth, linked), _PAIR)
+    # a cell is two nodes' chunks, as numbers: there are many more rows here than anywhere else
+    own, other = (F.shiftleft(node.cast("bigint"), 32) + chunk for node, chunk in ((F.col("p"), c), (F.col("q"), d)))
+    cells = routed.select("turn", F.least(own, other).alias("a"), F.greatest(own, other).alias("b"), "x", "y", (own > other).alias("right"))
+    found = cells.groupBy("a", "b", "turn").applyInPandas(_join_tries(budget, depth, linked), _PAIR)
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 

@@ -176,6 +176,42 @@ def test_tries_of_many_near_copies_take_linear_time():
     assert took[2] < 64 * max(took[0], 0.005)  # pairs grow by 256
 
 
+def sorted_keys(bits):
+    keys = np.unique(np.packbits(bits, axis=1), axis=0).view(">u8").astype(np.uint64)
+    return keys[np.lexsort((keys[:, 1], keys[:, 0]))]
+
+
+@pytest.mark.parametrize("cells, gathered, nodes, sparse", [(None,) * 4, (100, 50, 64, 0), (5, 1, 3, 40)])
+def test_row_pairs_by_brute_force(monkeypatch, cells, gathered, nodes, sparse):
+    for name, value in (("CELLS", cells), ("GATHERED", gathered), ("NODES", nodes), ("SPARSE", sparse)):
+        if value is not None:
+            monkeypatch.setattr(simhash, name, value)
+    rng = np.random.default_rng(8)
+    centres = rng.random((4, 128)) < 0.5
+    clumps = np.repeat(centres, [5, 20, 60, 300], axis=0) ^ (rng.random((385, 128)) < 0.06)
+    keys = sorted_keys(np.concatenate([clumps, rng.random((400, 128)) < rng.choice([0.3, 0.5, 0.7], 128)]))
+    apart = np.bitwise_count(keys[:, None] ^ keys).sum(-1)
+    want = {(i, j) for i, j in np.argwhere(apart <= simhash.BUDGET).tolist() if i < j}
+    got = set()
+    for turn in range(simhash.BLOCKS):
+        some = simhash.rotated(keys, turn)
+        order = np.lexsort((some[:, 1], some[:, 0]))
+        i, j = simhash.trie_pairs(some[order], simhash.BUDGET)
+        got |= {tuple(sorted(x)) for x in zip(order[i].tolist(), order[j].tolist())}
+    assert got == want and len(want) > 10_000
+
+
+def test_a_trie_of_many_texts_takes_few_sorts_time():
+    rng = np.random.default_rng(3)
+    keys = sorted_keys(rng.random((200_000, 128)) < rng.choice([0.3, 0.4, 0.5, 0.6, 0.7], 128))
+    took = []
+    for f in (lambda: simhash.trie_pairs(keys, simhash.BUDGET, linked=True), lambda: [np.lexsort((keys[::-1, 1], keys[::-1, 0])) for _ in range(20)]):
+        began = time.process_time()
+        f()
+        took.append(time.process_time() - began)
+    assert took[0] < 5 * took[1]
+
+
 def groups(pairs, n):
     label = list(range(n))
 
