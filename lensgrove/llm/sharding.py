@@ -186,53 +186,65 @@ def _shard_documents(docs: DataFrame, shards: int, rounds: int, slack: float, se
     even = (every.agg(F.sum("tokens")).first()[0] or 0) / shards
     begin, held = _by_bucket(every.where("self is not null"), {}, shards)
     quota = max(int(even * (1 + slack)), max(held.values()))
-    now = loop = space.put(begin.select("id", "tokens", "self", "shard"))
+    now = space.put(begin.select("id", "tokens", "self", "shard"))
+    loop, state, moves = now, None, now.withColumn("was", F.lit(None).cast("int"))
     # every round joins these rows by id and by node: they are laid out once for each
     by_id = both.select("node", "id", "parts").repartition("id").persist(StorageLevel.DISK_ONLY)
     by_node = both.select("node", "part", "id", "w").repartition("node", "part").persist(StorageLevel.DISK_ONLY)
     every_shard = range(shards)
+    names = [f"w{s}" for s in every_shard]
     for k in range(rounds):
         held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}
-        room = {x: quota - held.get(x, 0) for x in every_shard}
-        # a node's holders in each shard are one row, for each part of the node
-        there = by_id.join(now.select("id", "shard").hint("shuffle_hash"), "id")
-        count = there.groupBy("node").agg(F.first("parts").alias("parts"), *[F.count(F.when(F.col("shard") == s, 1)).alias(f"c{s}") for s in every_shard])
+        room = [quota - held.get(s, 0) for s in every_shard]
+        # what changed of a node's holders in each shard is one row, for each part of the node; at first, all did
+        there = by_id.join(moves.select("id", "shard", "was").hint("shuffle_hash"), "id")
+        change = [F.count(F.when(F.col("shard") == s, 1)) - F.count(F.when(F.col("was") == s, 1)) for s in every_shard]
+        count = there.groupBy("node").agg(F.first("parts").alias("parts"), *[c.alias(f"c{s}") for s, c in enumerate(change)])
         count = count.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        weights = by_node.join(count.hint("shuffle_hash"), ["node", "part"]).groupBy("id").agg(*[F.sum(F.col("w") * F.col(f"c{s}")).alias(f"w{s}") for s in every_shard])
+        weights = by_node.join(count.hint("shuffle_hash"), ["node", "part"]).groupBy("id").agg(*[F.sum(F.col("w") * F.col(f"c{s}")).alias(n) for s, n in enumerate(names)])
         own = now.select("id", "tokens", "self", F.col("shard").alias("own"))
-        fits = {s: (F.col("own") != s) & (F.col("tokens") <= (room[s] if room[s] >= _TIGHT * quota else -1)) for s in every_shard}
-        choice = [F.when(fits[s] & (F.col(f"w{s}") > 0), F.struct(F.col(f"w{s}").alias("w"), F.lit(-s).alias("s"))) for s in every_shard]
-        best = weights.join(own.hint("shuffle_hash"), "id").select(
-            F.col("id").alias("a"),
+        if state is None:
+            weighed = own.hint("shuffle_hash").join(weights, "id")
+        else:
+            more = weights.select("id", *[F.col(n).alias(f"d{n}") for n in names])
+            weighed = now.withColumnRenamed("shard", "own").join(more.hint("shuffle_hash"), "id", "left")
+            weighed = weighed.select("id", "tokens", "self", "own", *[(F.col(n) + F.coalesce(F.col(f"d{n}"), F.lit(0))).alias(n) for n in names])
+        # a round's numbers are a row and not part of the plan: the code that is compiled for one round serves all
+        asks = [r if r >= _TIGHT * quota else -1 for r in room]
+        table = docs.sparkSession.createDataFrame([(seed * 1000 + k, *asks)], ", ".join(["salt int", *[f"r{s} bigint" for s in every_shard]]))
+        weighed = weighed.crossJoin(F.broadcast(table))
+        choice = [F.when((F.col("own") != s) & (F.col("tokens") <= F.col(f"r{s}")) & (F.col(n) > 0), F.struct(F.col(n).alias("w"), F.lit(-s).alias("s"))) for s, n in enumerate(names)]
+        best = weighed.select(
+            "id",
             F.array_max(F.array(*choice)).alias("best"),
-            (F.element_at(F.array(*[F.col(f"w{s}") for s in every_shard]), F.col("own") + 1) - F.col("self")).alias("stay"),  # without the document itself
+            (F.element_at(F.array(*[F.col(n) for n in names]), F.col("own") + 1) - F.col("self")).alias("stay"),  # without the document itself
             "own",
             "tokens",
             "self",
+            *names,
+            F.pmod(F.xxhash64("salt", "id"), F.lit(2 * _PARTS)).alias("part"),
         )
-        turn = F.pmod(F.xxhash64(F.lit(seed * 1000 + k), "a"), F.lit(2 * _PARTS))
         more = F.coalesce(F.col("best.w") - F.col("stay"), F.lit(0))
-        wish = best.select("a", "tokens", "self", "own", F.when((more > 0) & (turn < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, (2 * F.log2(more)).cast("int")).alias("gain"), turn.alias("part"))
+        wish = best.select("id", "tokens", "self", "own", *names, F.when((more > 0) & (F.col("part") < _PARTS), -F.col("best.s")).alias("to"), F.when(more > 0, (2 * F.log2(more)).cast("int")).alias("gain"), "part")
         wish = space.put(wish)
+        space.drop(loop)
         asked = wish.where("to is not null").groupBy("to", "gain", "part").agg(F.sum("tokens").alias("t")).collect()  # shards x _GAINS x _PARTS rows at most
-        if not asked:
-            space.drop(wish)
-            break
-        limit: dict[int, int] = {}
-        for s in range(shards):
+        limit = []
+        for s in every_shard:
             left, last = room[s], -1
             for r in sorted((r for r in asked if r["to"] == s), key=lambda r: (-r["gain"], r["part"])):
                 left -= r["t"]
                 if left < 0:
                     break
                 last = (_GAINS - r["gain"]) * _PARTS + r["part"]
-            limit[s] = last
+            limit.append(last)
         rank = (F.lit(_GAINS) - F.col("gain")) * _PARTS + F.col("part")
-        moved = F.col("to").isNotNull() & (rank <= _pick(F.col("to"), {s: F.lit(x) for s, x in limit.items()}, F.lit(-1)))
-        new = space.put(wish.select(F.col("a").alias("id"), "tokens", "self", F.when(moved, F.col("to")).otherwise(F.col("own")).cast("int").alias("shard")))
-        space.drop(wish)
-        space.drop(loop)
-        now = loop = new
+        moved = F.col("to").isNotNull() & (rank <= F.element_at(F.array(*map(F.lit, limit)), F.col("to") + 1))
+        loop = state = wish
+        now = wish.select("id", "tokens", "self", F.when(moved, F.col("to")).otherwise(F.col("own")).cast("int").alias("shard"), *names)
+        moves = wish.where(moved).select("id", F.col("to").cast("int").alias("shard"), F.col("own").alias("was"))
+        if not asked:
+            break
     by_id.unpersist()
     by_node.unpersist()
     held = {r["shard"]: r["s"] for r in now.groupBy("shard").agg(F.sum("tokens").alias("s")).collect()}

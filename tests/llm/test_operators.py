@@ -512,6 +512,17 @@ def test_propagation_by_brute_force(spark, docs):
     assert got == at | loose
 
 
+def test_a_round_of_sharding_writes_one_table(spark, docs, monkeypatch):
+    put, count = common.Workspace.put, []
+    monkeypatch.setattr(common.Workspace, "put", lambda self, df: count.append(df) or put(self, df))
+    made = []
+    for rounds in (1, 2):
+        count.clear()
+        sharding.shard_documents(docs, shards=4, rounds=rounds)
+        made.append(len(count))
+    assert made[1] - made[0] == 1
+
+
 def test_no_shard_exceeds_its_quota(spark):
     rng = random.Random(8)
     rows = [(k, f"group {k // 6} holds this line of words together " + "\n" + "w" * rng.randrange(1, 1600)) for k in range(480)]
