@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -455,6 +456,62 @@ def test_holders_by_brute_force(docs):
     assert all(n == len(ids) for (_, n, _), ids in got.items()) and any(len(x) < 40 for x in held if isinstance(x, str))
 
 
+def test_marks_are_sent_in_blocks_and_rounds_have_tasks_by_rows(spark, docs, monkeypatch):
+    """Not a row for each mark of each text, nor as many tasks a round as there are shuffle partitions."""
+    put, plans = common.Workspace.put, []
+    monkeypatch.setattr(common.Workspace, "put", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or put(self, df))
+    repartition, tasks = type(docs).repartition, []
+    monkeypatch.setattr(type(docs), "repartition", lambda self, *a: tasks.append(a[0]) or repartition(self, *a))
+    sharding.shard_documents(docs, shards=4, rounds=1)
+    assert plans and not any("explode(marks" in x for x in plans)
+    assert tasks == [1, 1]
+
+
+def test_holders_over_many_blocks(monkeypatch):
+    """What is shared is found whichever blocks it comes in, and handed on once."""
+    monkeypatch.setattr(sharding, "_BLOCK", 40)
+    monkeypatch.setattr(sharding, "_SLICE", 7)
+    rng = random.Random(9)
+    held = {d: [rng.choice([1, 2, -3, rng.randrange(150), rng.randrange(10**6)]) for _ in range(rng.randrange(12))] for d in range(-50, 150)}
+    ids = sorted(held, key=lambda _: rng.random())
+    batches = [pa.record_batch([pa.array(x, pa.int64()), pa.array([held[d] for d in x], pa.list_(pa.int64()))], ["id", "marks"]) for x in (ids[k : k + 9] for k in range(0, len(ids), 9))]
+    sent = [r for b in sharding._send(3)(iter(batches)) for r in b.to_pylist()]
+    assert {r["bucket"] for r in sent} == {0, 1, 2}
+    rows = []
+    for k in range(3):
+        some = [r for r in sent if r["bucket"] == k]
+        rows += [r for b in sharding._share(pa.RecordBatch.from_pylist([r]) for r in some) for r in b.to_pylist()]
+    pairs = [(r["mark"], r["id"]) for r in rows if r["node"] is None]
+    got = {}
+    for m, d in pairs:
+        got.setdefault(m, set()).add(d)
+    assert len(pairs) == len(set(pairs))
+    want = {}
+    for d, ms in held.items():
+        for m in ms:
+            want.setdefault(m, set()).add(d)
+    mixed = {m: int(common.mixed(np.array([m]).view(np.uint64)).view(np.int64)[0]) for m in want}
+    want = {mixed[m]: x for m, x in want.items() if len(x) > 1}
+    named = {r["mark"]: r for r in rows if r["node"] is not None}
+    assert got == want and {m: r["n"] for m, r in named.items()} == {m: len(x) for m, x in want.items()}
+    assert len({frozenset(x) for x in want.values()}) == len({r["node"] for r in named.values()}) == len({(r["node"], frozenset(want[m])) for m, r in named.items()})
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "decimal(20,0)"])
+def test_holders_of_any_ids_and_repeated_rows(spark, kind):
+    rows = [(1, "a b c\nd"), (2, "d\na b c\nd"), (3, "x"), (3, "x"), (3, "y z"), (4, "y z\nw"), (4, None), (None, "x"), (5, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    held = sharding.holders(docs)
+    assert dict(held.dtypes)["id"] == kind
+    got = {}
+    for r in held.collect():
+        got.setdefault((r["node"], r["n"], r["w"]), []).append(int(r["id"]))
+    # of 1 and 2 the lines "a b c" and "d"; of 3 and 4 the line "y z", which is a whole text of 3
+    assert sorted((sorted(x), n, w) for (_, n, w), x in got.items()) == [([1, 2], 2, 2), ([3, 4], 2, 1)]
+    shards = sharding.shard_documents(docs, shards=2)
+    assert shards.dtypes[0] == ("doc_id", kind) and sorted(int(r["doc_id"]) for r in shards.collect()) == [1, 2, 3, 4, 5]
+
+
 def test_propagation_by_brute_force(spark, docs):
     """The same moves, done one document at a time over plain dictionaries."""
     shards, rounds = 4, 3
