@@ -36,15 +36,22 @@ def read_dump(spark: SparkSession, path: str, schema: T.StructType, partitions:
     return out.repartition(partitions) if partitions else out
 
 
+#: White space at the ends of a field belongs to it; Spark's writer takes it away unless it is told not to.
+_WHOLE_FIELDS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
-    """CSV with doubled quotes and newlines in fields, by header name and explicit schema; optionally some columns."""
-    out = spark.read.schema(schema).csv(path, header=True, escape='"', quote='"', multiLine=True, enforceSchema=False)
+    """CSV with doubled quotes and newlines in fields, by header name and explicit schema; optionally some columns.
+
+    The escape of escapes is the quote itself: by default it is NUL, and NULs before a quote are lost.
+    """
+    out = spark.read.schema(schema).csv(path, header=True, escape='"', quote='"', charToEscapeQuoteEscaping='"', multiLine=True, enforceSchema=False, **_WHOLE_FIELDS)
     return out.select(*columns) if columns else out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV that read_csv() reads back."""
-    df.write.mode(mode).csv(path, header=True, escape='"', quote='"', emptyValue="")
+    """CSV that read_csv() reads back, texts as they are; only '' comes back as null."""
+    df.write.mode(mode).csv(path, header=True, escape='"', quote='"', emptyValue="", **_WHOLE_FIELDS)
 
 
 def read_index(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from lensgrove import schemas
 from lensgrove.operators import catalog
+from lensgrove.plans.queries import ORACLES, QUERIES
 from lensgrove.sources import files, paged
 from lensgrove.streaming import ingest
 
+from .oracle import assert_same
+
 
 def test_dump(spark, tmp_path):
     with gzip.open(tmp_path / "t.tsv.gz", "wt") as f:
@@ -28,6 +31,18 @@ def test_csv_round_trip(spark, tmp_path):
     assert files.read_csv(spark, str(tmp_path / "c"), rows.schema, ["k"]).columns == ["k"]
 
 
+def test_csv_round_trip_keeps_ends_and_controls(spark, tmp_path):
+    odd = [" a", "a ", "\ta\t", " ", "\n", "\n\na\n", "\r", " \ra", "\x00", "a\x00b", '"\x00"', 'a\x00\x00"b,"\n', "\x01 \x1f", "\x85x\u2028", "#a", "\\", '\\"', '"', ",", "\ufeffa", "x" * 2_000_000]
+    rows = spark.createDataFrame([(2 * k + j, v + end) for k, v in enumerate(odd) for j, end in enumerate(("", '", "'))], "k int, v string")
+    files.write_csv(rows, str(tmp_path / "c"))
+    assert dict(files.read_csv(spark, str(tmp_path / "c"), rows.schema).collect()) == dict(rows.collect())
+
+
+def test_csv_query_keeps_white_space(spark, tmp_path):
+    spark.createDataFrame([(1, " a"), (2, "\n\tb "), (3, None), (4, "\rc"), (5, "\x00")], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert_same(QUERIES["csv_round_trip"](spark, str(tmp_path)), ORACLES["csv_round_trip"], tmp_path)
+
+
 def test_index_lookup_prunes(spark, tmp_path):
     path = str(tmp_path / "index")
     rows = spark.range(2000).select((F.col("id") % 50).cast("int").alias("taxon_id"), F.col("id").alias("photo_id"), F.lit("jpg").alias("extension"))
