@@ -278,12 +278,16 @@ _OBSERVED = "(SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_i
 
 
 def _observations(spark, d):
-    """A JSON-lines file of observations made of conversations: what a paged service would answer."""
+    """JSON-lines files of observations made of conversations, in order of their ids: what a paged service would answer.
+
+    Turns that are equal in turn and role give the same photo, so texts aren't read."""
     photo = F.struct((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("role").alias("url"))
-    turns = table(spark, d, "conversations").groupBy((F.col("conv_id") + 1).alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text", photo.alias("p")))), lambda x: x["p"]).alias("photos"))
+    turns = table(spark, d, "conversations").select((F.col("conv_id") + 1).alias("id"), "turn", "role", photo.alias("p")).repartitionByRange("id")
+    photos = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "p"))), lambda x: x["p"])
     path = files.scratch(spark)
-    turns.select(F.to_json(F.struct("id", F.lit("research").alias("quality_grade"), "photos")).alias("value")).coalesce(1).write.text(path)
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path").first()[0].replace("file:", "", 1)
+    observed = turns.groupBy("id").agg(photos.alias("photos")).sortWithinPartitions("id")
+    observed.select(F.to_json(F.struct("id", F.lit("research").alias("quality_grade"), "photos")).alias("value")).write.text(path)
+    return enrich.local(path)
 
 
 _FLAT = "SELECT conv_id + 1 AS observation_id, 'research' AS quality_grade, CAST(pos AS INTEGER) AS photo_pos, conv_id * 1000 + turn AS photo_id, role AS photo_url"
@@ -294,8 +298,7 @@ def paged_read(spark, d):
     """Pages of 40 observations behind a cursor, exploded to photos."""
     paged.register(spark)
     rows = spark.read.format("paged_observations").option("path", _observations(spark, d)).option("perPage", "40").load()
-    pages = rows.select(F.col("id").alias("observation_id"), "page")
-    return ingest.photo_rows(rows).select("observation_id", "quality_grade", "photo_pos", "photo_id", "photo_url").join(pages, "observation_id")
+    return ingest.photo_rows(rows, "page").select("observation_id", "quality_grade", "photo_pos", "photo_id", "photo_url", "page")
 
 
 @query(f"{_FLAT} FROM {_OBSERVED}")

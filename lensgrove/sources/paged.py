@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import islice
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
@@ -21,16 +25,92 @@ RETRY_STATUS = (429, 500, 502, 503, 504)
 
 
 class FileTransport:
-    """Pages cut from a JSON-lines file of observations; what a server with the same rows would answer."""
+    """Pages cut from JSON-lines observations, a file or a folder of files; what a server with the same rows would answer.
+
+    The files are read once for the ids and places of their lines, and again when they have changed; a page then reads
+    its own lines. A page ends where an id does, so rows that share one are on the same page.
+    """
 
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.seen = path, None
+
+    def _files(self) -> list[str]:
+        if not os.path.isdir(self.path):
+            return [self.path]
+        return [e.path for e in sorted(os.scandir(self.path), key=lambda e: e.name) if e.is_file() and e.name[0] not in "._"]
+
+    def _index(self) -> None:
+        """ids in their order; at: (file, begin, end) of each one's line."""
+        files = self._files()
+        seen = [(f, (s := os.stat(f)).st_size, s.st_mtime_ns) for f in files]
+        if seen == self.seen:
+            return
+        ids, at = array("q"), array("q")
+        for k, path in enumerate(files):
+            with open(path, "rb") as f:
+                begin = 0
+                for line in f:
+                    end = begin + len(line)
+                    if line.strip() and (key := json.loads(line).get("id")) is not None:
+                        ids.append(int(key))
+                        at.extend((k, begin, end))
+                    begin = end
+        keys = np.frombuffer(ids, np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.seen, self.files, self.ids, self.at = seen, files, keys[order], np.frombuffer(at, np.int64).reshape(-1, 3)[order]
+
+    def _end(self, begin: int, per_page: int) -> int:
+        """Where the page that begins at a place in ids ends."""
+        if begin + per_page >= len(self.ids):
+            return len(self.ids)
+        return int(np.searchsorted(self.ids, self.ids[begin + per_page - 1], "right"))
 
     def page(self, id_above: int, per_page: int) -> list[dict]:
-        with open(self.path, encoding="utf-8") as f:
-            rows = [json.loads(line) for line in f if line.strip()]
-        rows = [r for r in rows if r.get("id") is not None and r["id"] > id_above]
-        return sorted(rows, key=lambda r: r["id"])[:per_page]
+        self._index()
+        begin = int(np.searchsorted(self.ids, id_above, "right"))
+        return list(read_lines(self.files, self.at[begin : self._end(begin, per_page)]))
+
+    def parts(self, id_above: int, per_page: int, rows: int = 5000) -> list[Pages]:
+        """All pages after an id, in parts of whole pages with about ``rows`` rows, which can be read apart."""
+        self._index()
+        first = begin = int(np.searchsorted(self.ids, id_above, "right"))
+        number, ends, out = 1, [], []
+        while begin < len(self.ids):
+            begin = self._end(begin, per_page)
+            ends.append(begin - first)
+            if begin - first >= rows or begin == len(self.ids):
+                out.append(Pages(number, ends, self.files, self.at[first:begin]))
+                number, ends, first = number + len(ends), [], begin
+        return out
+
+
+class Pages(InputPartition):
+    """Consecutive pages of files: the first one's number, where each ends among their lines, and the lines' places."""
+
+    def __init__(self, number: int, ends: list[int], files: list[str], at: np.ndarray):
+        self.number, self.ends, self.at = number, ends, at.copy()
+        self.files = {int(k): files[k] for k in np.unique(at[:, 0])}
+
+    def __iter__(self) -> Iterator[tuple[int, list[dict]]]:
+        rows = read_lines(self.files, self.at)
+        for k, end in enumerate(self.ends):
+            yield self.number + k, list(islice(rows, end - (self.ends[k - 1] if k else 0)))
+
+
+def read_lines(files, at: np.ndarray) -> Iterator[dict]:
+    """The JSON lines at (file, begin, end), in that order; one file is open at a time."""
+    now, f = None, None
+    try:
+        for k, begin, end in at.tolist():
+            if k != now:
+                if f:
+                    f.close()
+                now, f = k, open(files[k], "rb")
+            f.seek(begin)
+            yield json.loads(f.read(end - begin))
+    finally:
+        if f:
+            f.close()
 
 
 class HttpTransport:
@@ -79,25 +159,37 @@ def pages(transport, id_above: int = 0, per_page: int = PER_PAGE, pause: float =
             time.sleep(pause)
 
 
-def _convert(value, kind):
+def _converter(kind) -> Callable:
+    """A function of a JSON value that gives the type's value, or None for what isn't one."""
     from pyspark.sql import types as T
 
-    if value is None:
-        return None
     if isinstance(kind, T.StructType):
-        return tuple(_convert(value.get(f.name), f.dataType) for f in kind.fields) if isinstance(value, dict) else None
+        fields = [(f.name, _converter(f.dataType)) for f in kind.fields]
+        return lambda v: tuple(None if (x := v.get(n)) is None else c(x) for n, c in fields) if isinstance(v, dict) else None
     if isinstance(kind, T.ArrayType):
-        return [_convert(v, kind.elementType) for v in value] if isinstance(value, list) else None
-    try:
-        if isinstance(kind, (T.LongType, T.IntegerType)):
-            return int(value)
-        if isinstance(kind, T.DoubleType):
-            return float(value)
-    except (TypeError, ValueError):
-        return None
+        each = _converter(kind.elementType)
+        return lambda v: [None if x is None else each(x) for x in v] if isinstance(v, list) else None
     if isinstance(kind, T.BooleanType):
-        return value if isinstance(value, bool) else None
-    return value if isinstance(value, str) else json.dumps(value)
+        return lambda v: v if isinstance(v, bool) else None
+    number = int if isinstance(kind, (T.LongType, T.IntegerType)) else float if isinstance(kind, T.DoubleType) else None
+    if number is None:
+        return lambda v: v if isinstance(v, str) else json.dumps(v)
+
+    def convert(v):
+        try:
+            return number(v)
+        except (TypeError, ValueError):
+            return None
+
+    return convert
+
+
+def _row_maker(fields) -> Callable[[int, int, dict], tuple]:
+    """(page, place on it, observation) as a row of the source's schema."""
+    from pyspark.sql import types as T
+
+    convert = _converter(T.StructType(fields.fields[2:]))
+    return lambda number, pos, r: (number, pos, *convert(r))
 
 
 def _transport(options: dict):
@@ -112,18 +204,26 @@ class _Reader(DataSourceReader):
         self.fields, self.options = schema, dict(options)
 
     def partitions(self):
+        o, transport = self.options, _transport(self.options)
+        if isinstance(transport, FileTransport):
+            return transport.parts(int(o.get("idabove", 0)), int(o.get("perpage", PER_PAGE))) or [InputPartition(0)]
         return [InputPartition(0)]  # each page's cursor is the last id of the one before
 
     def read(self, partition):
-        o = self.options
-        for number, rows in pages(_transport(o), int(o.get("idabove", 0)), int(o.get("perpage", PER_PAGE)), float(o.get("pause", 0))):
+        o, make = self.options, _row_maker(self.fields)
+        if isinstance(partition, Pages):
+            found = partition
+        else:
+            found = pages(_transport(o), int(o.get("idabove", 0)), int(o.get("perpage", PER_PAGE)), float(o.get("pause", 0)))
+        for number, rows in found:
             for pos, r in enumerate(rows):
-                yield (number, pos, *(_convert(r.get(f.name), f.dataType) for f in self.fields.fields[2:]))
+                yield make(number, pos, r)
 
 
 class _StreamReader(SimpleDataSourceStreamReader):
     def __init__(self, schema, options):
         self.fields, self.options = schema, dict(options)
+        self.make = _row_maker(schema)
 
     def initialOffset(self):
         return {"id_above": int(self.options.get("idabove", 0))}
@@ -134,7 +234,7 @@ class _StreamReader(SimpleDataSourceStreamReader):
             for pos, r in enumerate(rows):
                 if upto is not None and (r.get("id") is None or r["id"] > upto):
                     return out, {"id_above": upto}
-                out.append((number, pos, *(_convert(r.get(f.name), f.dataType) for f in self.fields.fields[2:])))
+                out.append(self.make(number, pos, r))
                 last = r.get("id") or last
         return out, {"id_above": last}
 
@@ -150,7 +250,7 @@ class _StreamReader(SimpleDataSourceStreamReader):
 
 
 class PagedObservations(DataSource):
-    """Format 'paged_observations'. Options: path (JSON lines) or url with the service's own parameters; perPage,
+    """Format 'paged_observations'. Options: path (JSON lines, a file or a folder) or url with the service's own parameters; perPage,
     pause, idAbove, and pagesPerBatch for streams. Rows have their page's number and their place on it."""
 
     @classmethod

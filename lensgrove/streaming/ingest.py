@@ -18,8 +18,9 @@ def read_pages(spark: SparkSession, **options: str) -> DataFrame:
     return spark.readStream.format("paged_observations").options(**options).load()
 
 
-def photo_rows(observations: DataFrame) -> DataFrame:
-    """Metadata rows: observation and taxon fields beside each photo's; missing values are null."""
+def photo_rows(observations: DataFrame, *more: str) -> DataFrame:
+    """Metadata rows: observation and taxon fields beside each photo's, and columns that are asked for besides; missing
+    values are null."""
     flat = explode_photos(observations)
     return flat.select(
         F.col("id").alias("observation_id"),
@@ -32,6 +33,7 @@ def photo_rows(observations: DataFrame) -> DataFrame:
         F.col("photo.id").alias("photo_id"),
         F.col("photo.url").alias("photo_url"),
         F.col("photo.original_url").alias("original_url"),
+        *more,
     )
 
 

@@ -88,6 +88,35 @@ def test_paged_source(spark, tmp_path):
     assert paged.resume_cursor(flat.limit(0)) == 0
 
 
+def test_pages_read_the_file_once(spark, tmp_path, monkeypatch):
+    """By lines parsed: each page used to parse the whole file."""
+    (tmp_path / "o").mkdir()
+    ids = [k * 7919 % 3001 for k in range(3001)]  # 0 to 3000 in no order, over three files
+    for k in range(3):
+        (tmp_path / "o" / f"part-{k}.txt").write_text("".join(json.dumps({"id": i, "user": {"login": "\u00e9\u2028"}}) + "\n\n" for i in ids[k::3]), encoding="utf-8")
+    (tmp_path / "o" / "_SUCCESS").write_text("")
+    parsed, loads = [], json.loads
+    monkeypatch.setattr(paged.json, "loads", lambda x: parsed.append(1) or loads(x))
+    t = paged.FileTransport(str(tmp_path / "o"))
+    got = list(paged.pages(t, 0, 7))
+    assert [r["id"] for _, rows in got for r in rows] == list(range(1, 3001)) and [n for n, _ in got] == list(range(1, 430))
+    assert len(parsed) == 3001 + 3000
+    parts = t.parts(10, 7, 100)
+    assert [(n, [r["id"] for r in rows]) for p in parts for n, rows in p] == [(n, [r["id"] for r in rows]) for n, rows in paged.pages(t, 10, 7)]
+    assert len(parts) == 29 and max(len(p.at) for p in parts) == 105
+    paged.register(spark)
+    rows = spark.read.format("paged_observations").option("path", str(tmp_path / "o")).option("perPage", "7").option("idAbove", "10").load()
+    assert [tuple(r) for r in rows.select("page", "pos", "id", "user.login").orderBy("id").collect()] == [(k // 7 + 1, k % 7, k + 11, "\u00e9\u2028") for k in range(2990)]
+    assert spark.read.format("paged_observations").option("path", str(tmp_path / "o")).option("idAbove", "3000").load().count() == 0
+
+
+def test_rows_that_share_an_id_are_on_one_page(tmp_path):
+    (tmp_path / "o.jsonl").write_text("\n".join(json.dumps({"id": i, "n": n}) for n, i in enumerate([1, 2, 2, 2, 3, 3, None, 4])))
+    t = paged.FileTransport(str(tmp_path / "o.jsonl"))
+    assert [[r["n"] for r in rows] for _, rows in paged.pages(t, 0, 2)] == [[0, 1, 2, 3], [4, 5], [7]]
+    assert [[r["n"] for r in rows] for p in t.parts(0, 2, 1) for _, rows in p] == [[0, 1, 2, 3], [4, 5], [7]]
+
+
 def test_paged_stream_is_exactly_once(spark, tmp_path):
     write_pages(tmp_path / "o.jsonl", 12)
 
