@@ -42,13 +42,13 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "global_index"
     points = df.agg(F.percentile_approx(lead, [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
     edges = sorted(set(points))
 
-    def below(low: int, high: int) -> Column:  # how many edges are less than the value, by halving
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(lead > F.lit(edges[middle]), below(middle + 1, high)).otherwise(below(low, middle))
-
-    ranged = df.withColumn("__range", F.when(lead.isNull(), F.lit(ranges)).otherwise(below(0, len(edges))))
+    # how many edges are less than the value, by halving; a step each, as one expression of them all is too long to be compiled
+    table, step = F.array(*[F.lit(e) for e in edges]), 1 << len(edges).bit_length() >> 1
+    ranged = df.withColumn("__range", F.when(lead.isNull(), F.lit(ranges)).otherwise(F.lit(0)))
+    while step:
+        at = F.col("__range")
+        ranged = ranged.withColumn("__range", at + F.when(F.get(table, at + F.lit(step - 1)) < lead, F.lit(step)).otherwise(F.lit(0)))
+        step >>= 1
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # over at most ``ranges`` + 1 rows
     starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
@@ -117,6 +117,7 @@ def build_worklist(metadata: DataFrame, base: str, config: RunConfig = RunConfig
     """
     require_columns(metadata, "observation_id", "taxon_name", "photo_url", *order)
     rows = metadata.where(filled("photo_url")).withColumn("observation_id", to_long(F.col("observation_id").cast("string"))).where(F.col("observation_id").isNotNull())
-    rows = image_ordinal(rows, "observation_id", order).withColumn("genus_species", binomial(F.col("taxon_name")))
-    rows = with_paths(global_index(rows, order), base, config)
-    return shard(rows, config.shard, config.num_shards) if config.num_shards > 1 else rows
+    rows = global_index(image_ordinal(rows, "observation_id", order), order)
+    if config.num_shards > 1:
+        rows = shard(rows, config.shard, config.num_shards)
+    return with_paths(rows.withColumn("genus_species", binomial(F.col("taxon_name"))), base, config)

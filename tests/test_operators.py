@@ -1,5 +1,6 @@
 """Operators on small frames."""
 
+import re
 import time
 
 import numpy as np
@@ -291,3 +292,34 @@ def test_config():
     assert variants()["cutouts"].prefetch == 8
     with pytest.raises(ValueError):
         RunConfig(limit_scope="some")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(12,2)", "double"])
+def test_global_index_of_skewed_and_null_values(spark, kind):
+    values = [None, None, 5, 5, 5, 5, -3, 0, 10**6, *range(700), *[7] * 300]
+    rows = spark.createDataFrame([(v, n) for n, v in enumerate(values)], "v long, n int").repartition(5).select(F.col("v").cast(kind).alias("v"), "n")
+    want = [n for n, v in sorted(enumerate(values), key=lambda x: (x[1] is None, x[1] or 0, x[0]))]
+    for ranges in (1, 2, 5, 256, 300):
+        got = {r["global_index"]: r["n"] for r in worklist.global_index(rows, ("v", "n"), ranges=ranges).collect()}
+        assert [got[k] for k in range(1, len(values) + 1)] == want
+    for k in (0, 1, 2):  # no edge, or one
+        assert worklist.global_index(rows.where("v is null" if k == 1 else "v = 5").limit(k), ("v", "n")).count() == k
+
+
+def test_global_index_is_compiled(spark, capsys):
+    """Methods of over 8000 bytes are interpreted; the search of 255 edges was one expression."""
+    spark.conf.set("spark.sql.adaptive.enabled", False)  # else only what has run is compiled
+    try:
+        worklist.global_index(spark.range(3000).select((F.col("id") * 7 % 1009).alias("a"), "id"), ("a", "id")).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_names_are_made_after_sharding(spark):
+    rows = spark.range(30).select(F.col("id").alias("observation_id"), F.when(F.col("id") % 2 == 0, "Rosa Canina").otherwise("rosa canina").alias("taxon_name"), F.lit("http://h/a.png").alias("photo_url"), F.col("id").alias("source_pos"))
+    work = worklist.build_worklist(rows, "/b", RunConfig(shard=1, num_shards=3))
+    assert {(r["global_index"], r["genus_species"]) for r in work.collect()} == {(k, "Rosa_canina") for k in range(1, 31, 3)}
+    plan = work._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("genus_species") < plan.index("row_number") and "genus_species" not in plan.split("row_number", 1)[1]
