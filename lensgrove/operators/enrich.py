@@ -6,7 +6,7 @@ import io
 import os
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import numpy as np
@@ -19,33 +19,44 @@ from lensgrove import schemas
 from lensgrove.config import RunConfig
 from lensgrove.functions import artefact_name, drop_empty, top_scores
 from lensgrove.sources import png
+from lensgrove.sources.files import local
 
 from .masks import ColourSegmenter, Segmenter, average_rgb, binary, bounding_box, by_confidence, cutout, overlay, resized
 
 
 #: Bytes of images, or of masks and overlays, that a task gathers before it hands them on.
 SLICE_BYTES = 32 << 20
-
-
-def local(path: str) -> str:
-    """The path of a mounted file system that all executors share; object stores have none (ValueError)."""
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    if "://" in path:
-        raise ValueError(f"{path}: mount it, or write to a shared folder and move it with sources.files")
-    return path
+#: Artefacts that a task writes together.
+SLICE_FILES = 256
 
 
 def write_atomic(path: str, data: bytes) -> None:
     """Write a file so that it is there whole or not at all; a repeated task writes the same bytes again."""
-    path = local(path)
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    temp = f"{path}.{uuid.uuid4().hex}.part"
-    with open(temp, "wb") as f:
-        f.write(data)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(temp, path)
+    write_all([(path, data)])
+
+
+def write_all(files: Sequence[tuple[str, bytes]]) -> None:
+    """write_atomic() of some files, all of which are open at once: they are all written before the first is synced, so
+    that the file system commits them together."""
+    folders, opened = set(), []
+    try:
+        for path, data in files:
+            path = local(path)
+            if (folder := os.path.dirname(path) or ".") not in folders:
+                os.makedirs(folder, exist_ok=True)
+                folders.add(folder)
+            f = open(temp := f"{path}.{uuid.uuid4().hex}.part", "wb", buffering=0)
+            opened.append((f, temp, path))
+            left = memoryview(data)
+            while left:
+                left = left[f.write(left) :]
+        for f, temp, path in opened:
+            os.fsync(f.fileno())
+            f.close()
+            os.replace(temp, path)
+    finally:
+        for f, _, _ in opened:
+            f.close()
 
 
 def prefetched(keys: list, job: Callable, workers: int, most: int) -> Iterator[tuple[object, object, str | None]]:
@@ -238,7 +249,7 @@ def write_artefacts(enriched: DataFrame, base: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
+            rows, todo, held = [], [], 0
             for r in b.itertuples(index=False):
                 files = []
                 for i, x in enumerate(r.instances):
@@ -247,9 +258,14 @@ def write_artefacts(enriched: DataFrame, base: str) -> DataFrame:
                 files += [(f"segments/{r.batch_name}/{r.stem}_segment_{i}.png", c) for i, c in enumerate(r.cutouts) if c is not None]
                 if r.overlay is not None:
                     files.append((f"overlays/{r.batch_name}/{r.stem}_overlay.png", r.overlay))
-                for name, data in files:
-                    write_atomic(os.path.join(base, name), data)
                 rows.append((r.global_index, len(files), sum(len(d) for _, d in files)))
+                for name, data in files:
+                    todo.append((os.path.join(base, name), data))
+                    held += len(data)
+                    if len(todo) >= SLICE_FILES or held >= SLICE_BYTES:
+                        write_all(todo)
+                        todo, held = [], 0
+            write_all(todo)
             yield pd.DataFrame(rows, columns=["global_index", "files", "bytes"])
 
     return enriched.select("global_index", "batch_name", "stem", "instances", "overlay", "cutouts").mapInPandas(run, "global_index bigint, files int, bytes bigint")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from lensgrove.sources import png
 
+#: Pictures that a task makes and works on: the work goes by rows, which hold few bytes, and a file's splits go by bytes.
+PART_ROWS = 2500
+
 
 def picture(values: np.ndarray) -> bytes:
     """Elements above 0.1 as red pixels, by size, on grey; 8 wide."""
@@ -28,6 +31,7 @@ def pictures(embeddings: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"global_index": b["vec_id"], "content": [picture(v) for v in b["embedding"]]})
 
-    made = embeddings.select("vec_id", "embedding").mapInPandas(run, "global_index bigint, content binary")
+    parts = -(-embeddings.count() // PART_ROWS) or 1
+    made = embeddings.select("vec_id", "embedding").repartition(parts, "vec_id").mapInPandas(run, "global_index bigint, content binary")
     batch = F.lit("batch_00001")
     return made.withColumns({"batch_name": batch, "stem": F.concat(F.lit("v_"), F.col("global_index").cast("string")), "mask_batch_relpath": F.concat_ws("/", F.lit("masks"), batch)})

@@ -133,6 +133,11 @@ def _enriched(spark, d):
     return enrich.segment(images.pictures(table(spark, d, "embeddings")), RowSegmenter(), _CONFIG)
 
 
+def _artefacts(spark, d, base):
+    """Artefacts in folders by batch: files of one folder are made one at a time, whatever the number of tasks."""
+    return enrich.write_artefacts(_enriched(spark, d).withColumn("batch_name", L.batch_name(F.col("global_index") + 1, _CONFIG.batch_size)), base)
+
+
 @query(f"""SELECT e.vec_id AS global_index, CAST(coalesce(f.n, 0) AS INTEGER) AS num_instances, coalesce(f.files, '') AS mask_files, coalesce(f.scores, '') AS mask_scores, coalesce(f.rgb, '') AS avg_rgb,
            'ok' AS status, CAST(NULL AS VARCHAR) AS error
            FROM embeddings e LEFT JOIN (SELECT vec_id, count(*) AS n, string_agg('masks/batch_00001/v_' || vec_id::VARCHAR || '_instance_' || k::VARCHAR || '.npy', ';' ORDER BY k) AS files,
@@ -148,7 +153,7 @@ def enrich_images(spark, d):
 def artefacts_written(spark, d):
     """Masks, cut-outs and overlays as files, counted from their names and sizes: an .npy of 8 x 8 has 192 bytes."""
     base = files.scratch(spark)
-    wrote = _stored(spark, enrich.write_artefacts(_enriched(spark, d), base).select("global_index", "files"))
+    wrote = _stored(spark, _artefacts(spark, d, base).select("global_index", "files"))
     masks_ = files.read_binary(spark, base + "/masks", "*.npy").groupBy(F.regexp_extract("path", "v_([0-9]+)_", 1).cast("long").alias("id")).agg(F.sum("length").alias("m"))
     return wrote.join(masks_, F.col("global_index") == F.col("id"), "left").select("global_index", "files", F.coalesce("m", F.lit(0)).alias("mask_bytes"))
 
@@ -156,7 +161,7 @@ def artefacts_written(spark, d):
 @query(f"""SELECT 'masks' AS kind, count(*) AS files, 192 * count(*) AS bytes FROM {_FOUND} UNION ALL SELECT 'none', 0, 0""")
 def file_census(spark, d):
     base = files.scratch(spark)
-    enrich.write_artefacts(_enriched(spark, d), base).write.format("noop").mode("overwrite").save()
+    _artefacts(spark, d, base).write.format("noop").mode("overwrite").save()
     return files.census(spark, base, {"masks": ("masks", "*.npy"), "none": ("nothing", "*.npy")})
 
 

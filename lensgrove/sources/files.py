@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _system(spark: SparkSession, path: str):
+    """A path's file system, and the path in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, in any file system that Spark knows, exists."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    system, where = _system(spark, path)
+    return system.exists(where)
+
+
+def local(path: str) -> str:
+    """The path of a mounted file system that all executors share; object stores have none (ValueError)."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    if "://" in path:
+        raise ValueError(f"{path}: mount it, or write to a shared folder and move it with sources.files")
+    return path
 
 
 def scratch(spark: SparkSession) -> str:
@@ -92,17 +111,62 @@ def read_binary(spark: SparkSession, path: str, pattern: str | None = None) -> D
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
+def _named(spark: SparkSession, pattern: str | None) -> re.Pattern:
+    """Names that a pattern of the file system means; Spark's listing knows the same."""
+    if pattern is None:
+        return re.compile("")
+    return re.compile(spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern() + r"\Z", re.DOTALL)
+
+
+def _hidden(name: str) -> bool:
+    """Whether Spark's listing passes over a file or folder."""
+    return name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+
+
+def _counted(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+    """(files, bytes) in rows to be added up, of files below a folder of a mounted file system. Tasks list one of its
+    folders each: Spark's listing keeps all files on the driver and makes a task of every 32."""
+    named = _named(spark, pattern)
+    with os.scandir(local(path)) as listed:
+        folders = [e.path for e in listed if e.is_dir() and not _hidden(e.name)]
+
+    def count(folder: str, below: bool) -> tuple[int, int]:
+        files = size = 0
+        todo = [folder]
+        while todo:
+            with os.scandir(todo.pop()) as listed:
+                for e in listed:
+                    if _hidden(e.name):
+                        continue
+                    if e.is_dir():
+                        if below:
+                            todo.append(e.path)
+                    elif named.match(e.name):
+                        files += 1
+                        size += e.stat().st_size
+        return files, size
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([count(p, below) for p, below in zip(b["path"], b["below"])], columns=["files", "bytes"])
+
+    parts = spark.createDataFrame([(local(path), False), *((p, True) for p in folders)], "path string, below boolean")
+    return parts.repartition(min(len(folders) + 1, 200)).mapInPandas(run, "files bigint, bytes bigint")
+
+
 def census(spark: SparkSession, base: str, kinds: dict[str, tuple[str, str | None]]) -> DataFrame:
     """(kind, files, bytes) for each kind: (folder, name pattern) under ``base``; missing folders count 0. Contents
     aren't read."""
     parts = []
     for kind, (folder, pattern) in kinds.items():
         path = f"{base}/{folder}"
-        if exists(spark, path):
-            listed = read_binary(spark, path, pattern).select(F.lit(kind).alias("kind"), F.lit(1).alias("one"), "length")
+        if not exists(spark, path):
+            listed = spark.createDataFrame([], "files bigint, bytes bigint")
+        elif _system(spark, path)[0].getUri().getScheme() == "file":
+            listed = _counted(spark, path, pattern)
         else:
-            listed = spark.createDataFrame([], "kind string, one int, length bigint")
-        parts.append(listed.agg(F.lit(kind).alias("kind"), F.count("one").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
+            listed = read_binary(spark, path, pattern).select(F.lit(1).alias("files"), F.col("length").alias("bytes"))
+        parts.append(listed.agg(F.lit(kind).alias("kind"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("files", "bytes")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

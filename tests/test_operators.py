@@ -323,3 +323,34 @@ def test_names_are_made_after_sharding(spark):
     assert {(r["global_index"], r["genus_species"]) for r in work.collect()} == {(k, "Rosa_canina") for k in range(1, 31, 3)}
     plan = work._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("genus_species") < plan.index("row_number") and "genus_species" not in plan.split("row_number", 1)[1]
+
+
+def test_artefacts_are_written_together(tmp_path, monkeypatch):
+    """The first file is synced when all are written, and gets its name when it is synced."""
+    seen, sync = [], enrich.os.fsync
+    monkeypatch.setattr(enrich.os, "fsync", lambda f: (seen.append(sorted(p.stat().st_size for p in tmp_path.rglob("*.part"))), sync(f)))
+    enrich.write_all([(f"file://{tmp_path}/d{k}/f", b"x" * 10 * k) for k in range(3)])
+    assert seen == [[0, 10, 20], [10, 20], [20]]
+    assert {p.parent.name: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()} == {f"d{k}": b"x" * 10 * k for k in range(3)}
+    enrich.write_all([])
+
+
+def test_pictures_are_parted_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(images, "PART_ROWS", 100)
+    rows = spark.range(450).select(F.col("id").alias("vec_id"), F.array(F.lit(0.5)).alias("embedding")).coalesce(1)
+    made = images.pictures(rows)
+    assert made.rdd.getNumPartitions() == 5 and made.select("global_index").distinct().count() == 450
+    assert images.pictures(rows.limit(0)).count() == 0
+
+
+def test_slices_of_artefacts(spark, tmp_path, monkeypatch):
+    """Files are counted and written whole whatever the slices."""
+    rows = enrich.segment(images.pictures(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").limit(30)), config=RunConfig(cutouts=True, score_threshold=0.0))
+    got = []
+    for n in (1, 7, 256):
+        monkeypatch.setattr(enrich, "SLICE_FILES", n)
+        wrote = {tuple(r) for r in enrich.write_artefacts(rows, str(tmp_path / str(n))).collect()}
+        there = [p for p in (tmp_path / str(n)).rglob("*") if p.is_file()]
+        assert len(there) == sum(r[1] for r in wrote) and sum(p.stat().st_size for p in there) == sum(r[2] for r in wrote)
+        got.append(wrote)
+    assert got[0] == got[1] == got[2]

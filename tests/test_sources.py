@@ -70,6 +70,21 @@ def test_json_log_and_census(spark, tmp_path):
     assert {tuple(r) for r in states.collect()} == {("a", "exists"), ("b", "missing")}
 
 
+def test_census_lists_folders_in_tasks(spark, tmp_path):
+    for k, folder in enumerate(("", "a", "a/deep", "b", "_hidden", "k=_v", "a/.x")):
+        (tmp_path / "m" / folder).mkdir(parents=True, exist_ok=True)
+        for n in range(40):
+            (tmp_path / "m" / folder / f"f{n}.npy").write_bytes(b"x" * (k + 1))
+        for name in ("_f.npy", ".f.npy", "f.npyx", "é[1].png", "f.npy.0.part"):
+            (tmp_path / "m" / folder / name).write_bytes(b"yy")
+    patterns = [None, "*.npy", "f?.npy", "f[0-2]*.npy", "*.{npy,png}", "é*"]
+    got = files.census(spark, str(tmp_path), {str(k): ("m", p) for k, p in enumerate(patterns)} | {"none": ("n", None)})
+    want = {(str(k), *files.read_binary(spark, str(tmp_path / "m"), p).agg(F.count("path"), F.coalesce(F.sum("length"), F.lit(0))).first()) for k, p in enumerate(patterns)}
+    assert {tuple(r) for r in got.collect()} == want | {("none", 0, 0)}
+    assert got.dtypes == [("kind", "string"), ("files", "bigint"), ("bytes", "bigint")]
+    assert "binaryFile" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def write_pages(path, n=25):
     rows = [{"id": k, "quality_grade": "research", "taxon": {"id": 1, "name": "Rosa canina"} if k % 2 else None, "photos": [[], None, [{"id": k * 10, "url": "http://h/square.jpg"}, {"id": k * 10 + 1, "url": None}]][k % 3]} for k in range(1, n + 1)]
     path.write_text("\n".join(json.dumps(r) for r in rows))
