@@ -223,14 +223,14 @@ class _Reader(DataSourceReader):
 class _StreamReader(SimpleDataSourceStreamReader):
     def __init__(self, schema, options):
         self.fields, self.options = schema, dict(options)
-        self.make = _row_maker(schema)
+        self.transport, self.make = _transport(self.options), _row_maker(schema)  # kept: it knows where its pages lie
 
     def initialOffset(self):
         return {"id_above": int(self.options.get("idabove", 0))}
 
     def _rows(self, start: dict, upto: int | None = None):
         o, out, last = self.options, [], start["id_above"]
-        for number, rows in pages(_transport(o), last, int(o.get("perpage", PER_PAGE)), float(o.get("pause", 0)), int(o.get("pagesperbatch", 1)) if upto is None else None):
+        for number, rows in pages(self.transport, last, int(o.get("perpage", PER_PAGE)), float(o.get("pause", 0)), int(o.get("pagesperbatch", 1)) if upto is None else None):
             for pos, r in enumerate(rows):
                 if upto is not None and (r.get("id") is None or r["id"] > upto):
                     return out, {"id_above": upto}

@@ -125,6 +125,32 @@ def test_pages_read_the_file_once(spark, tmp_path, monkeypatch):
     assert spark.read.format("paged_observations").option("path", str(tmp_path / "o")).option("idAbove", "3000").load().count() == 0
 
 
+def test_stream_reads_the_file_once(tmp_path, monkeypatch):
+    """By lines parsed: each micro-batch used to parse the whole file for each of its pages. What is added later is seen."""
+    write_pages(tmp_path / "o.jsonl", 1000)
+    parsed, loads = [], json.loads
+    monkeypatch.setattr(paged.json, "loads", lambda x: parsed.append(1) or loads(x))
+    source = paged.PagedObservations({"path": str(tmp_path / "o.jsonl"), "perPage": "10", "pagesPerBatch": "2"})
+    reader = source.simpleStreamReader(source.schema())
+
+    def follow(at):
+        while True:
+            rows, end = reader.read(at)
+            if end == at:
+                return at
+            rows = list(rows)
+            got.extend(r[2] for r in rows)
+            assert [r[2] for r in reader.readBetweenOffsets(at, end)] == [r[2] for r in rows]
+            at = end
+
+    got = []
+    at = follow(reader.initialOffset())
+    assert got == list(range(1, 1001)) and len(parsed) < 6 * 1000
+    write_pages(tmp_path / "o.jsonl", 1100)
+    follow(at)
+    assert got == list(range(1, 1101))
+
+
 def test_rows_that_share_an_id_are_on_one_page(tmp_path):
     (tmp_path / "o.jsonl").write_text("\n".join(json.dumps({"id": i, "n": n}) for n, i in enumerate([1, 2, 2, 2, 3, 3, None, 4])))
     t = paged.FileTransport(str(tmp_path / "o.jsonl"))
